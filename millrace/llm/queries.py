@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .near_dup import near_duplicates
 from .shared import table
+from .toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +25,7 @@ def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op7_minhash_near_dup,
     )
 }
