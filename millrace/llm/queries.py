@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .near_dup import near_duplicates
+from .packing import pack
 from .shared import table
 from .toxicity import toxicity
 
@@ -22,11 +23,23 @@ def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The public byte-level BPE vocabulary of the installed tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity,
         op7_minhash_near_dup,
+        op9_best_fit_packing,
     )
 }
 
