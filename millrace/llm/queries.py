@@ -15,6 +15,7 @@ from .near_dup import near_duplicates
 from .packing import pack
 from .shared import table
 from .toxicity import toxicity
+from .warc import round_trip
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"), min_bytes=0).drop("payload")
+
+
 def tokenizer_path() -> str:
     """The public byte-level BPE vocabulary of the installed tokenizer files."""
     import public_tokenizers
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_line_dedup,
         op6_weighted_fair_mixing,
         op7_minhash_near_dup,
+        op8_warc_normaliser,
         op9_best_fit_packing,
     )
 }
