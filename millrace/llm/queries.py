@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .mixing import MIX_SQL, mix
 from .near_dup import near_duplicates
 from .packing import pack
+from .secrets import find_secrets
 from .shared import table
 from .toxicity import toxicity
 from .warc import round_trip
@@ -27,6 +28,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op6_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity,
         op3_line_dedup,
+        op4_secret_scan,
         op6_weighted_fair_mixing,
         op7_minhash_near_dup,
         op8_warc_normaliser,
