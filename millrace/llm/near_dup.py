@@ -3,8 +3,9 @@
 Plan of the job:
 
 1. One pass over the texts makes, per document, the size and a digest of its shingle
-   set, ``BANDS`` band keys of its MinHash samples and an odd sketch: a parity bitmap
-   into which the samples are folded. Only these few hundred bytes move on.
+   set, ``BANDS`` band keys of its MinHash samples and two odd sketches: a parity bitmap
+   into which the samples are folded, and a wider one into which the whole set is folded.
+   Only these few hundred bytes move on.
 2. Documents with the same set form a class (an aggregate that combines before the
    shuffle, so thousands of copies cost one row per task); the rest works on classes.
 3. Classes that share a band key are compared with the smallest class under that key,
@@ -13,7 +14,10 @@ Plan of the job:
    components.
 4. Under each band key only pairs of *different* components are still open. They are
    compared inside the task, sketch against sketch, in blocks of bounded size, and only
-   pairs whose estimate is high leave the task, to be confirmed on full sets as well.
+   pairs that pass both sketches leave the task, to be confirmed on full sets as well.
+
+The bits in which two whole-set sketches differ are never more than the shingles in which
+the sets differ, so that test loses no link.
 
 No partner is capped: step 4 looks at every pair that steps 2 and 3 left open.
 """
@@ -37,6 +41,8 @@ SAMPLES = 128
 #: A pair at 0.85 shares all 6 samples of one band with p = 0.38: 40 bands miss it once in 10^7 or less.
 BAND_ROWS, BANDS = 6, 40
 SKETCH_BITS = 512
+#: Parity bitmap of the whole set.
+SET_BITS = 4096
 #: Pairs whose estimate is below the threshold by more than this are dropped: about 5 standard deviations.
 MARGIN = 0.22
 #: Most members of a band key that one task compares at once.
@@ -70,6 +76,18 @@ def odd_sketch(samples: np.ndarray) -> bytes:
     return np.packbits(np.bincount(bit, minlength=SKETCH_BITS) & 1 == 1).tobytes()
 
 
+def set_sketch(hashes: np.ndarray) -> bytes:
+    """The parity bitmap of all hashes."""
+    bit = (hashes % np.uint64(SET_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(bit, minlength=SET_BITS) & 1 == 1).tobytes()
+
+
+def most_differing(percent: int) -> int:
+    """The largest number of differing bits whose estimate is within MARGIN of the threshold."""
+    d = np.arange(SKETCH_BITS + 1)
+    return int(d[estimate(d) >= percent / 100 - MARGIN].max())
+
+
 def estimate(differing: np.ndarray) -> np.ndarray:
     """Similarity from the number of bits in which two sketches differ.
 
@@ -81,7 +99,7 @@ def estimate(differing: np.ndarray) -> np.ndarray:
 
 
 def _signatures(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()), ("bitmap", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,13 +109,13 @@ def _signatures(k: int):
                 for s in shingle_sets(texts.slice(at, 256).to_pylist(), k):
                     if len(s):
                         m = minhash(mix(s))
-                        rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_keys(m), odd_sketch(m)))
+                        rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_keys(m), odd_sketch(m), set_sketch(s)))
                     else:
-                        rows.append((0, None, None, None))
-            cols = list(zip(*rows, strict=True)) or [[], [], [], []]
+                        rows.append((0, None, None, None, None))
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(list(c), t.type) for c, t in zip(cols, list(schema)[1:], strict=True))], schema=schema)
 
-    return run, "doc_id long, n_shingles long, set_id binary, bands array<long>, sketch binary"
+    return run, "doc_id long, n_shingles long, set_id binary, bands array<long>, sketch binary, bitmap binary"
 
 
 def _sets(k: int):
@@ -131,36 +149,54 @@ def _confirm(percent: int):
 
 
 def _close_enough(percent: int):
-    """Column: may the pair with sketches sa and sb be as similar as asked?"""
+    """Column: may the pair with these sketches, bitmaps and sizes be as similar as asked?"""
+    limit = most_differing(percent)
 
     @F.pandas_udf("boolean")
-    def close(sa: pd.Series, sb: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(len(s), -1) for s in (sa, sb))
-        return pd.Series(estimate(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) >= percent / 100 - MARGIN)
+    def close(sa: pd.Series, sb: pd.Series, ba: pd.Series, bb: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
+        def differing(x: pd.Series, y: pd.Series) -> np.ndarray:
+            x, y = (np.frombuffer(b"".join(s), dtype=np.uint64).reshape(len(s), -1) for s in (x, y))
+            return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+        ok = (differing(sa, sb) <= limit) & (differing(ba, bb) * (100 + percent) <= (na + nb) * (100 - percent))
+        return pd.Series(ok & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)))
 
     return close
 
 
 def _open_pairs(percent: int):
     """Pairs of different components within one block pair of a band key, by their sketches."""
-    limit = percent / 100 - MARGIN
+    limit = most_differing(percent)
+
+    def columns(s: pd.Series) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(b"".join(s), dtype=np.uint64).reshape(len(s), -1).T)
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame, out: list) -> None:
+        if left.empty or right.empty:
+            return
+        sketch, bitmap = columns(right.sketch), columns(right.bitmap)
+        rep, comp, size = (right[c].to_numpy() for c in ("rep", "component", "size"))
+        for x in left.itertuples():
+            d = np.bitwise_count(sketch ^ np.frombuffer(x.sketch, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint16)
+            at = np.flatnonzero((d <= limit) & (comp != x.component))
+            at = at[100 * np.minimum(size[at], x.size) >= percent * np.maximum(size[at], x.size)]
+            if len(at):
+                d = np.bitwise_count(bitmap[:, at] ^ np.frombuffer(x.bitmap, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.int64)
+                hit = rep[at[d * (100 + percent) <= (size[at] + x.size) * (100 - percent)]]
+                out.append(np.stack([np.full(len(hit), x.rep), hit], axis=1))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        # pairs within the largest component are settled, so its rows need not be gone through
+        large = rows.component.mode().iloc[0]
         left = rows[rows.side == 0]
-        right = rows[rows.side == 1] if (rows.side == 1).any() else left
-        y = np.frombuffer(b"".join(right.sketch), dtype=np.uint64).reshape(len(right), -1)
-        b, cb = right.rep.to_numpy(), right.component.to_numpy()
+        right = rows[rows.side == 1] if key[1] != key[2] else left
         out = [np.zeros((0, 2), dtype=np.int64)]
-        for rep, comp, sketch in zip(left.rep, left.component, left.sketch, strict=True):
-            other = np.flatnonzero(cb != comp)
-            if right is left:
-                other = other[b[other] > rep]
-            if len(other):
-                d = np.bitwise_count(y[other] ^ np.frombuffer(sketch, dtype=np.uint64)).sum(axis=1, dtype=np.int64)
-                hit = b[other[estimate(d) >= limit]]
-                out.append(np.stack([np.full(len(hit), rep), hit], axis=1))
+        compare(left[left.component != large], right, out)
+        if right is not left:
+            compare(right[right.component != large], left[left.component == large], out)
         pairs = np.concatenate(out)
-        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+        pairs = np.unique(np.stack([pairs.min(axis=1), pairs.max(axis=1)], axis=1), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run, "a long, b long"
 
@@ -196,8 +232,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = written(docs.mapInArrow(run, schema))
     full = sig.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    reps = written(full.join(classes, "set_id").where("doc_id = rep").select("rep", "set_id", "bands", "sketch").dropDuplicates(["rep", "set_id"]))
-    sketches = reps.select("rep", "sketch").dropDuplicates(["rep"])
+    reps = written(full.join(classes, "set_id").where("doc_id = rep").select("rep", "set_id", F.col("n_shingles").alias("size"), "bands", "sketch", "bitmap").dropDuplicates(["rep", "set_id"]))
+    sketches = reps.select("rep", "size", "sketch", "bitmap").dropDuplicates(["rep"])
 
     keys = reps.select("rep", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")
@@ -207,9 +243,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         keys.where("rep <> pivot")
         .select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
         .distinct()
-        .join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a")
-        .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
-        .where(close("sa", "sb"))
+        .join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"), F.col("bitmap").alias("ba"), F.col("size").alias("na")), "a")
+        .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"), F.col("bitmap").alias("bb"), F.col("size").alias("nb")), "b")
+        .where(close("sa", "sb", "ba", "bb", "na", "nb"))
         .select("a", "b")
     )
     links = written(_links(written(pairs), docs, k, percent))
@@ -223,11 +259,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(sketches, "rep")
         .withColumn("blocks", blocks)
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .select("key", "rep", "component", "sketch", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("key", "rep", "component", "sketch", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
+        .select("key", "rep", "component", "size", "sketch", "bitmap", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("key", "rep", "component", "size", "sketch", "bitmap", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
     )
     run, schema = _open_pairs(percent)
-    more = written(dealt.groupBy("key", "x", "y").applyInPandas(run, schema).distinct())
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the rows are few, the work on them is not
+    more = written(dealt.repartition(tasks, "key", "x", "y").groupBy("key", "x", "y").applyInPandas(run, schema).distinct())
     if not more.isEmpty():
         links = links.union(_links(more, docs, k, percent))
         found = components(links)
