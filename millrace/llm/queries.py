@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .mixing import MIX_SQL, mix
 from .near_dup import near_duplicates
 from .packing import pack
+from .pii import find_pii
 from .secrets import find_secrets
 from .shared import table
 from .toxicity import toxicity
@@ -32,6 +33,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op5_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op6_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_toxicity,
         op3_line_dedup,
         op4_secret_scan,
+        op5_bootstrapped_pii,
         op6_weighted_fair_mixing,
         op7_minhash_near_dup,
         op8_warc_normaliser,
