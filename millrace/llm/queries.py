@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprints import fingerprint_versions
 from .line_dedup import dedup_lines
 from .mixing import MIX_SQL, mix
 from .near_dup import near_duplicates
@@ -24,6 +25,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_invertible_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs)
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity,
+        op2_invertible_fingerprints,
         op3_line_dedup,
         op4_secret_scan,
         op5_bootstrapped_pii,
