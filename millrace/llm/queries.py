@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .audio import excerpt, identify, sonify
 from .fingerprints import fingerprint_versions
 from .line_dedup import dedup_lines
 from .mixing import MIX_SQL, mix
@@ -65,6 +67,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recordings that the vectors sound as; every twentieth is also looked for by a noisy excerpt."""
+    return identify(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, sonify, excerpt, "vec_id", "embedding")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_minhash_near_dup,
         op8_warc_normaliser,
         op9_best_fit_packing,
+        op10_chroma_fingerprints,
     )
 }
 
