@@ -63,7 +63,10 @@ def date(text: Column) -> Column:
 
 
 def json_text(text: Column) -> Column:
-    return F.when(F.try_parse_json(text).isNotNull(), text)
+    """Text that is one JSON value. The parser ignores what follows a value, so the text is tried
+    inside an array and inside an object: nothing but a single value fits into both."""
+    parses = lambda before, after: F.try_parse_json(F.concat(F.lit(before), text, F.lit(after))).isNotNull()
+    return F.when(parses("[", "]") & parses('{"x":', "}"), text)
 
 
 def cast(raw: Column, field: Field, trim: bool = True) -> tuple[Column, Column]:

@@ -14,9 +14,9 @@ def plain_float(c: Column) -> Column:
     return F.when(short.contains("E"), F.coalesce(text, short)).otherwise(F.regexp_replace(short, r"\.0$", ""))
 
 
-def timestamp_text(c: Column) -> Column:
-    """RFC 3339 in UTC; the fraction only if there is one."""
-    utc = F.to_utc_timestamp(c, F.current_timezone())
+def timestamp_text(c: Column, naive: bool = False) -> Column:
+    """RFC 3339 in UTC; the fraction only if there is one. ``naive``: a time without a zone, taken as UTC."""
+    utc = c.cast("timestamp") if naive else F.to_utc_timestamp(c, F.current_timezone())
     head = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")
     fraction = F.regexp_replace(F.date_format(utc, ".SSSSSS"), r"\.?0+$", "")
     return F.concat(head, fraction, F.lit("Z"))
@@ -26,8 +26,8 @@ def value_text(c: Column, kind: T.DataType) -> Column:
     """A value as text: floats without exponent, UTC times, true/false, decimals with all their digits."""
     if isinstance(kind, T.DoubleType | T.FloatType):
         return plain_float(c)
-    if isinstance(kind, T.TimestampType):
-        return timestamp_text(c)
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return timestamp_text(c, isinstance(kind, T.TimestampNTZType))
     if isinstance(kind, T.BinaryType):
         return F.decode(c, "UTF-8")
     return c.cast("string")

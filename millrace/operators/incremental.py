@@ -9,6 +9,7 @@ from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import Schema
 
@@ -103,6 +104,8 @@ def newer(df: DataFrame, mark: Mark) -> DataFrame:
     if v is None:
         return df
     if isinstance(v, datetime):
+        if isinstance(df.schema[mark.column].dataType, T.TimestampNTZType):  # read as UTC
+            return df.where(F.col(mark.column) > F.expr(f"TIMESTAMP_NTZ '{v:%Y-%m-%d %H:%M:%S.%f}'"))
         return df.where(F.col(mark.column) > F.timestamp_micros(F.lit(round(v.timestamp() * 1_000_000))))
     return df.where(F.col(mark.column) > F.lit(v))
 
@@ -123,6 +126,8 @@ def next_mark(written: DataFrame, mark: Mark) -> Mark:
     c = F.col(mark.column)
     top = F.max(c)
     if mark.kind == "timestamp":
+        if isinstance(written.schema[mark.column].dataType, T.TimestampNTZType):  # read as UTC
+            top = F.concat(top.cast("string"), F.lit("Z")).cast("timestamp")
         top = F.unix_micros(top)
     elif mark.kind == "date":
         top = top.cast("string")

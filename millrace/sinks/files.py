@@ -45,7 +45,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
 
 def write_json_lines(df: DataFrame, path: str, compression: str = "none", single_file: bool = False, mode: str = "errorifexists") -> None:
     """One object per line, NULLs kept."""
-    plain = df.select(*((timestamp_text(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`")) for f in df.schema.fields))
+    plain = df.select(*((value_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType) else F.col(f"`{f.name}`")) for f in df.schema.fields))
     _parts(plain, single_file).write.mode(mode).option("ignoreNullFields", False).option("compression", _codec("json", compression)).json(path)
 
 
