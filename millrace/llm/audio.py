@@ -31,7 +31,7 @@ BAND = 0.15
 #: Frames between the integers of a landmark; the bits of these that say which of two rectangles is larger.
 GAP, SIGNS = 8, 0xAAAAAAAA - (1 << 32)
 #: Aligned frames at least, and the share of differing bits at most, of a match.
-MIN_FRAMES, MAX_ERROR = 48, 0.25
+MIN_FRAMES, MAX_ERROR = 96, 0.2
 
 
 @cache
