@@ -165,38 +165,68 @@ def _close_enough(percent: int):
 
 
 def _open_pairs(percent: int):
-    """Pairs of different components within one block pair of a band key, by their sketches."""
+    """Pairs of different components within each block pair of a band key, by their sketches.
+
+    The rows come sorted by block pair. Most of these have a few rows, so they are cut out of
+    the batch as array slices; the last one of a batch waits for the next batch.
+    """
     limit = most_differing(percent)
 
-    def columns(s: pd.Series) -> np.ndarray:
-        return np.ascontiguousarray(np.frombuffer(b"".join(s), dtype=np.uint64).reshape(len(s), -1).T)
+    def matrix(column: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), -1)
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame, out: list) -> None:
-        if left.empty or right.empty:
+    def compare(r: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray, out: list[np.ndarray]) -> None:
+        """Pairs of a row of left and a row of right, given as row numbers."""
+        if not len(left) or not len(right):
             return
-        sketch, bitmap = columns(right.sketch), columns(right.bitmap)
-        rep, comp, size = (right[c].to_numpy() for c in ("rep", "component", "size"))
-        for x in left.itertuples():
-            d = np.bitwise_count(sketch ^ np.frombuffer(x.sketch, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint16)
-            at = np.flatnonzero((d <= limit) & (comp != x.component))
-            at = at[100 * np.minimum(size[at], x.size) >= percent * np.maximum(size[at], x.size)]
+        sketch, comp, size = r["sketch"][right].T.copy(), r["component"][right], r["size"][right]
+        for i in left:
+            d = np.bitwise_count(sketch ^ r["sketch"][i][:, None]).sum(axis=0, dtype=np.uint16)
+            at = np.flatnonzero((d <= limit) & (comp != r["component"][i]))
+            at = at[100 * np.minimum(size[at], r["size"][i]) >= percent * np.maximum(size[at], r["size"][i])]
             if len(at):
-                d = np.bitwise_count(bitmap[:, at] ^ np.frombuffer(x.bitmap, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.int64)
-                hit = rep[at[d * (100 + percent) <= (size[at] + x.size) * (100 - percent)]]
-                out.append(np.stack([np.full(len(hit), x.rep), hit], axis=1))
+                d = np.bitwise_count(r["bitmap"][right[at]] ^ r["bitmap"][i]).sum(axis=1, dtype=np.int64)
+                hit = r["rep"][right[at[d * (100 + percent) <= (size[at] + r["size"][i]) * (100 - percent)]]]
+                out.append(np.stack([np.minimum(hit, r["rep"][i]), np.maximum(hit, r["rep"][i])], axis=1))
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def group(r: dict[str, np.ndarray], a: int, b: int, out: list[np.ndarray]) -> None:
         # pairs within the largest component are settled, so its rows need not be gone through
-        large = rows.component.mode().iloc[0]
-        left = rows[rows.side == 0]
-        right = rows[rows.side == 1] if key[1] != key[2] else left
-        out = [np.zeros((0, 2), dtype=np.int64)]
-        compare(left[left.component != large], right, out)
-        if right is not left:
-            compare(right[right.component != large], left[left.component == large], out)
-        pairs = np.concatenate(out)
-        pairs = np.unique(np.stack([pairs.min(axis=1), pairs.max(axis=1)], axis=1), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        names, counts = np.unique(r["component"][a:b], return_counts=True)
+        if len(names) < 2:
+            return
+        rows = np.arange(a, b)
+        large = r["component"][a:b] == names[counts.argmax()]
+        if r["x"][a] == r["y"][a]:
+            return compare(r, rows[~large], rows, out)
+        first = r["side"][a:b] == 0
+        compare(r, rows[first & ~large], rows[~first], out)
+        compare(r, rows[~first & ~large], rows[first & large], out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def found(out: list[np.ndarray]) -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate([np.zeros((0, 2), dtype=np.int64), *out]), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "x", "y", "side", "rep", "component", "size")}
+            rows |= {c: matrix(batch.column(c)) for c in ("sketch", "bitmap")}
+            if held:
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
+            new = np.flatnonzero((np.diff(rows["key"]) != 0) | (np.diff(rows["x"]) != 0) | (np.diff(rows["y"]) != 0)) + 1
+            cuts = [0, *new.tolist()]
+            out: list[np.ndarray] = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                group(rows, a, b, out)
+            held = {c: v[cuts[-1] :] for c, v in rows.items()}
+            yield found(out)
+        if held:
+            out = []
+            group(held, 0, len(held["key"]), out)
+            yield found(out)
 
     return run, "a long, b long"
 
@@ -264,7 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     run, schema = _open_pairs(percent)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the rows are few, the work on them is not
-    more = written(dealt.repartition(tasks, "key", "x", "y").groupBy("key", "x", "y").applyInPandas(run, schema).distinct())
+    more = written(dealt.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema).distinct())
     if not more.isEmpty():
         links = links.union(_links(more, docs, k, percent))
         found = components(links)
