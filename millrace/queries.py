@@ -592,8 +592,8 @@ def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that hold one array each, a bounded number of rows in every array."""
     path = shared_folder(spark)
     rows = _records(spark, sf_dir).withColumn("at", timestamp_text(F.col("at"), naive=True))
-    lines = rows.select((F.col("id") % 16).alias("part"), json_row(rows).alias("j")).groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
-    lines.repartition(16, "part").write.partitionBy("part").text(path)
+    lines = rows.select(F.floor(F.col("id") / 1000).alias("part"), json_row(rows).alias("j")).groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
+    lines.repartition("part").write.partitionBy("part").text(path)
     return _back(read_json(spark, [f"{path}/*"], _ROUND, array=True), trim=False)
 
 
@@ -665,10 +665,10 @@ def json_path_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT conv_id AS conversation, turn, role AS speaker, text AS said FROM conversations")
 def api_page_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses with nested arrays, taken apart again by paths; a stray item is skipped."""
+    """Responses with nested arrays of at most 50 turns, taken apart again by paths; a stray item is skipped."""
     talk = _table(spark, sf_dir, "conversations")
     item = F.to_json(F.struct(F.col("turn"), F.struct(F.col("role").alias("by"), F.col("text").alias("body")).alias("said")), {"ignoreNullFields": "false"})
-    pages = talk.groupBy("conv_id").agg(F.concat(F.lit('{"data":{"items":[7,'), F.array_join(F.collect_list(item), ","), F.lit("]}}")).alias("body"))
+    pages = talk.groupBy("conv_id", F.floor(F.col("turn") / 50).alias("page")).agg(F.concat(F.lit('{"data":{"items":[7,'), F.array_join(F.collect_list(item), ","), F.lit("]}}")).alias("body"))
     schema = Schema.of(Field("turn", "int64"), Field("speaker"), Field("said"))
     rows = extract_records(pages, schema, "data.items", {"speaker": "said.by", "said": "said.body"})
     return rows.select(F.col("conv_id").alias("conversation"), F.col("turn").cast("bigint").alias("turn"), "speaker", "said")
