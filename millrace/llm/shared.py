@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import shared_folder
+
 #: White space of the word definition used across the operators: space, tab, LF, VT, FF, CR.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -16,22 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors share.
-
-    The cluster names the parent in spark.checkpoint.dir. Where it is unset (tests,
-    local mode) a temporary folder of this machine serves, as there is only one machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame) -> DataFrame:
     """The same rows from a table in the shared folder: cuts lineage, survives lost executors."""
-    path = scratch_dir(df.sparkSession)
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -23,7 +23,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch_dir, written
+from ..workspace import shared_folder
+from .shared import written
 
 #: Uncompressed bytes after which a writer starts the next archive.
 ARCHIVE_BYTES = 48 << 20
@@ -226,5 +227,5 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     not looked at. An empty table gives an empty result.
     """
     spark = pages.sparkSession
-    archives = write_archives(pages, scratch_dir(spark), id_col, url_col, html_col, min_bytes)
-    return read_archives(normalise(archives, scratch_dir(spark)))
+    archives = write_archives(pages, shared_folder(spark), id_col, url_col, html_col, min_bytes)
+    return read_archives(normalise(archives, shared_folder(spark)))
