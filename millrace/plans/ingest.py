@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.incremental import Mark, next_mark, next_offset
@@ -27,14 +27,16 @@ class Report:
     watermark: str | None
     null_counts: dict[str, int] = field(default_factory=dict)
     invalid_counts: dict[str, int] = field(default_factory=dict)
+    custom: dict[str, object] = field(default_factory=dict)
 
 
-def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule] = (), gates: Gates = Gates(), unique: Sequence[str] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", mark: Mark | None = None, offset: int | None = None, trim: bool = True, compression: str = "snappy", single_file: bool = False) -> Report:
+def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule] = (), gates: Gates = Gates(), unique: Sequence[str] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", mark: Mark | None = None, offset: int | None = None, trim: bool = True, compression: str = "snappy", single_file: bool = False, custom: Mapping[str, Column] | None = None) -> Report:
     """Validate ``source`` and publish it below ``out``: data/, quarantine/dead_letters, quarantine/audit, metrics/.
 
     One tagged frame, persisted, feeds all outputs. Totals are counted on the source and compared
     with the rows that were published and quarantined; a gate that does not hold leaves an error
-    file and raises, after the quarantine is written and before the data are.
+    file and raises, after the quarantine is written and before the data are. ``custom`` has
+    aggregates over the valid rows, by the names under which they are reported.
     """
     began, run = time.monotonic(), run or Run()
     spark = source.sparkSession
@@ -63,8 +65,9 @@ def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule
             watermark = None if offset is None else str(next_offset(offset, read))
         nulls = {f"null_count_{n}": counts[f"n{i}"] for i, n in enumerate(schema.names)}
         invalid = {f"invalid_value_count_{n}": counts[f"i{i}"] for i, n in enumerate(schema.names)}
-        report = Report(read, stats["rows"], dlq, origins, stats | throughput(read, stats["bytes"], time.monotonic() - began), watermark, nulls, invalid)
-        write_run_file(spark, f"{out}/metrics/run", {"pipeline_id": run.pipeline_id, "run_id": run.execution_id, "total_records_read": read, "rows_written": stats["rows"], "dead_letter_count": dlq, "origin_metrics": origins, "watermark": watermark, **stats, **nulls, **invalid})
+        own = checked.valid.agg(*(c.alias(n) for n, c in custom.items())).first().asDict() if custom else {}
+        report = Report(read, stats["rows"], dlq, origins, stats | throughput(read, stats["bytes"], time.monotonic() - began), watermark, nulls, invalid, own)
+        write_run_file(spark, f"{out}/metrics/run", {"pipeline_id": run.pipeline_id, "run_id": run.execution_id, "total_records_read": read, "rows_written": stats["rows"], "dead_letter_count": dlq, "origin_metrics": origins, "watermark": watermark, **stats, **nulls, **invalid, "custom": own})
         return report
     finally:
         checked.unpersist()

@@ -68,8 +68,9 @@ def test_one_scan_and_no_single_partition(spark, tmp_path):
 def test_run_ingest(spark):
     rows = frame(spark, [(str(i), "n", "1", None) for i in range(40)] + [("x", "n", "1", None)] * 2)
     out = shared_folder(spark)
-    r = run_ingest(rows, SCHEMA, out, gates=Gates(max_error_percentage=10), offset=5, run=Run(pipeline_id="p"))
+    r = run_ingest(rows, SCHEMA, out, gates=Gates(max_error_percentage=10), offset=5, run=Run(pipeline_id="p"), custom={"top": F.max("id")})
     assert (r.total_read, r.valid, r.dlq, r.watermark, r.stats["files"] > 0) == (42, 40, 2, "47", True)
+    assert r.custom == {"top": 39} and r.invalid_counts["invalid_value_count_id"] == 2
     assert spark.read.parquet(f"{out}/data").count() == 40 and spark.read.json(f"{out}/quarantine/dead_letters").count() == 2
     for gates, unique in ((Gates(max_error_percentage=1), ()), (Gates(dlq_enabled=False), ()), (Gates(row_count_min=100), ()), (Gates(), ("name",))):
         with pytest.raises(GateError):
