@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix=f"millrace-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that the cluster names in spark.checkpoint.dir; where that is
-    unset (tests, local mode), below a temporary one of this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    unset (tests, local mode), below a temporary one of this machine, which is then the only one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
