@@ -16,6 +16,8 @@ copy of the texts (to stand beside their neighbours) and, per level, the blocks
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ CELLS = 24
 PIECE_WORDS = 16
 PIECE = r"[^\x20\x09-\x0D]+(?:[\x20\x09]+[^\x20\x09-\x0D]+){0,%d}" % (PIECE_WORDS - 1)
 #: Digests of both sets in a block, on average, when a sketch is retried; rounds of peeling.
-BLOCK_KEYS, ROUNDS = 6, 6
+BLOCK_KEYS, ROUNDS = 8, 6
 #: Rows in a range of ids.
 RANGE_ROWS = 2_000
 
@@ -38,32 +40,44 @@ def paragraphs(text: Column) -> Column:
 
 
 def _at(key: str, level: int) -> str:
-    """The bits that place a digest; other ones at each level."""
-    return key if level == 0 else f"xxhash64({key}, {level})"
+    """The bits that place a digest; those of a fresh hash when its own ones have failed twice."""
+    return key if level <= 1 else f"xxhash64({key}, {level})"
+
+
+#: Empty cells; b and v tell which digests belong in one: those whose three bits from b on are v.
+_EMPTY = f"transform(sequence(0, {CELLS - 1}), c -> named_struct('n', 0, 'k', 0L, 'h', 0, 'b', 3 * (c div 8), 'v', cast(c % 8 AS bigint)))"
+
 
+def _changed(cell: str, key: str, by: str) -> str:
+    return f"named_struct('n', {cell}.n {by}, 'k', {cell}.k ^ {key}, 'h', {cell}.h ^ hash({key}), 'b', {cell}.b, 'v', {cell}.v)"
 
-def _hit(key: str, cell: str, level: int) -> str:
-    return f"(shiftrightunsigned({_at(key, level)}, 3 * ({cell} div 8)) & 7) = {cell} % 8"
+
+def _added(keys: str, to: str, by: str, level: int) -> str:
+    """SQL for a cell after the digests that belong in it are added or taken out."""
+    return f"aggregate({keys}, {to}, (s, x) -> if((shiftrightunsigned({_at('x', level)}, s.b) & 7) = s.v, {_changed('s', 'x', by)}, s))"
 
 
 def sketch(keys: str, level: int = 0) -> str:
     """SQL for the cells of an array of digests."""
-    return f"""transform(sequence(0, {CELLS - 1}), c -> aggregate(filter({keys}, x -> {_hit("x", "c", level)}),
-        named_struct('n', 0, 'k', 0L, 'h', 0), (s, x) -> named_struct('n', s.n + 1, 'k', s.k ^ x, 'h', s.h ^ hash(x))))"""
+    return f"transform({_EMPTY}, z -> {_added(keys, 'z', '+ 1', level)})"
 
 
 def subtract(a: str, b: str) -> str:
-    return f"zip_with({a}, {b}, (s, t) -> named_struct('n', s.n - t.n, 'k', s.k ^ t.k, 'h', s.h ^ t.h))"
+    return f"zip_with({a}, {b}, (s, t) -> named_struct('n', s.n - t.n, 'k', s.k ^ t.k, 'h', s.h ^ t.h, 'b', s.b, 'v', s.v))"
+
+
+def sketch_of_difference(a: str, b: str, level: int) -> str:
+    """sketch(a) - sketch(b), the second set's digests taken out of the first one's cells directly."""
+    return f"transform({_EMPTY}, z -> {_added(b, _added(a, 'z', '+ 1', level), '- 1', level)})"
 
 
 def peel(cells: str, level: int = 0) -> str:
     """SQL for struct(ok, more, less): whether all cells emptied, and how many digests only the first and only the second set has."""
     pure = "array_distinct(transform(filter(st.cells, s -> abs(s.n) = 1 AND hash(s.k) = s.h), s -> named_struct('k', s.k, 'n', s.n)))"
-    after = f"""transform(st.cells, (s, c) -> aggregate(filter(p, q -> {_hit("q.k", "c", level)}), s,
-        (t, q) -> named_struct('n', t.n - q.n, 'k', t.k ^ q.k, 'h', t.h ^ hash(q.k))))"""
-    step = f"""transform(array({pure}), p -> if(size(p) = 0, st, named_struct('cells', {after},
-        'more', st.more + size(filter(p, q -> q.n = 1)), 'less', st.less + size(filter(p, q -> q.n = -1)))))[0]"""
-    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'more', 0, 'less', 0), (st, r) -> {step},
+    after = f"transform(st.cells, s -> aggregate(p, s, (t, q) -> if((shiftrightunsigned({_at('q.k', level)}, t.b) & 7) = t.v, {_changed('t', 'q.k', '- q.n')}, t)))"
+    step = f"""transform(array({pure}), p -> if(size(p) = 0, named_struct('cells', st.cells, 'more', st.more, 'less', st.less, 'go', false),
+        named_struct('cells', {after}, 'more', st.more + size(filter(p, q -> q.n = 1)), 'less', st.less + size(filter(p, q -> q.n = -1)), 'go', true)))[0]"""
+    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'more', 0, 'less', 0, 'go', true), (st, r) -> if(st.go, {step}, st),
         st -> named_struct('ok', forall(st.cells, s -> s.n = 0 AND s.k = 0 AND s.h = 0), 'more', st.more, 'less', st.less))"""
 
 
@@ -72,41 +86,29 @@ def written_form(keys: Column, cells: str) -> Column:
     return F.concat(F.size(keys).cast("string"), F.lit(":"), F.expr(f"array_join(transform({cells}, s -> concat(lpad(hex(s.n & 255), 2, '0'), lpad(hex(s.k), 16, '0'), lpad(right(hex(s.h), 8), 8, '0'))), '')"))
 
 
-def _split(keys: str, side: str, bits: int) -> str:
+def _split(keys: str, side: str, level: int) -> str:
     """SQL for an array of side * side arrays: digests by two remainders, in two steps so that the work is about keys * side."""
-    return f"""flatten(transform(sequence(0, {side} - 1), g -> transform(array(filter({keys}, x -> pmod(shiftright(x, {bits}), {side}) = g)),
-        part -> transform(sequence(0, {side} - 1), j -> filter(part, x -> pmod(shiftright(x, {bits + 16}), {side}) = j)))[0]))"""
+    part = lambda bits, value: f"pmod(shiftright({_at('x', level)}, {bits}), {side}) = {value}"
+    return f"""flatten(transform(sequence(0, {side} - 1), g -> transform(array(filter({keys}, x -> {part(9, "g")})),
+        some -> transform(sequence(0, {side} - 1), j -> filter(some, x -> {part(25, "j")})))[0]))"""
 
 
 def differences(pairs: DataFrame) -> DataFrame:
-    """(row, pair, more, less) of a table (row, pair, a, b) of digest arrays; exact, by retrying larger."""
-    done = []
-    level = 0
-    left = pairs
-    while True:
-        if level == 0:  # the sketch of the whole sets, already subtracted
-            tried = left.withColumn("p", F.expr(peel("cells")))
-        else:
-            if level == 1:
-                side = f"cast(ceil(sqrt((size(a) + size(b)) / {BLOCK_KEYS})) AS int)"
-                left = left.withColumn("side", F.expr(f"greatest(2, {side})"))
-            else:
-                left = left.withColumn("side", F.lit(2))
-            # other bits at each level; what stays in one block for long is split by fresh hashes of the level
-            bits = 9 if level == 1 else 9 + (level - 1) % 4
-            blocks = left.withColumn("as", F.expr(_split("a", "side", bits))).withColumn("bs", F.expr(_split("b", "side", bits)))
-            blocks = blocks.select("row", "pair", F.explode(F.arrays_zip("as", "bs")).alias("z")).select("row", "pair", F.col("z.as").alias("a"), F.col("z.bs").alias("b")).where("size(a) + size(b) > 0")
-            tried = blocks.withColumn("p", F.expr(peel(subtract(sketch("a", level), sketch("b", level)), level)))
-        tried = written(tried.select("row", "pair", "p.ok", "p.more", "p.less", F.expr("if(p.ok, NULL, a)").alias("a"), F.expr("if(p.ok, NULL, b)").alias("b")))
-        done.append(tried.where("ok").select("row", "pair", "more", "less"))
-        left = tried.where("not ok").select("row", "pair", "a", "b")
-        if left.isEmpty():
-            break
+    """(row, pair, more, less) of a table (row, pair, a, b) of digest arrays that one sketch could not
+    hold: as many blocks as the sizes call for, then four for each block that still fails, and so on."""
+    done: list[DataFrame] = []
+    left, level = pairs, 1
+    while level == 1 or not left.isEmpty():
+        side = f"greatest(2, cast(ceil(sqrt((size(a) + size(b)) / {BLOCK_KEYS})) AS int))" if level == 1 else "2"
+        blocks = left.withColumn("side", F.expr(side)).select("row", "pair", F.expr(_split("a", "side", level)).alias("as"), F.expr(_split("b", "side", level)).alias("bs"))
+        tried = blocks.withColumn("p", F.expr(f"transform(arrays_zip(as, bs), block -> {peel(sketch_of_difference('block.as', 'block.bs', level), level)})"))
+        sums = [F.expr(f"aggregate(p, 0, (n, r) -> n + if(r.ok, r.{c}, 0))").alias(c) for c in ("more", "less")]
+        failed = F.expr("transform(filter(arrays_zip(as, bs, p), f -> NOT f.p.ok), f -> named_struct('a', f.as, 'b', f.bs))").alias("failed")
+        tried = written(tried.select("row", "pair", *sums, failed))
+        done.append(tried.select("row", "pair", "more", "less"))
+        left = tried.select("row", "pair", F.explode("failed").alias("f")).select("row", "pair", "f.a", "f.b")
         level += 1
-    out = done[0]
-    for d in done[1:]:
-        out = out.union(d)
-    return out.groupBy("row", "pair").agg(F.sum("more").alias("more"), F.sum("less").alias("less"))
+    return reduce(DataFrame.union, done)
 
 
 def _bucket(bounds: list[int]) -> Column:
@@ -126,7 +128,8 @@ def _bucket(bounds: list[int]) -> Column:
 
 
 def beside_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """(doc_id, text) with next_text: the text of the next document by descending id; the first one's after the last.
+    """(doc_id, text) with its digests and sketch (a, ca), and next_text, b, cb: those of the next
+    document by descending id; after the last comes the first.
 
     Ids are dealt into ranges. Each range also gets a copy of the first document of the range
     below, so that every document has its next one beside it in its range.
@@ -140,14 +143,17 @@ def beside_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     docs = docs.withColumn("range", _bucket(bounds))
     tops = sorted((r["range"], r["top"]) for r in docs.groupBy("range").agg(F.max("doc_id").alias("top")).collect())  # one row per range
     if not tops:
-        return docs.select("doc_id", "version", "text", F.lit("").alias("next_text"), F.lit(0).alias("range"))
+        tops = [(0, 0)]
     below = [(tops[i - 1][1], r) for i, (r, _) in enumerate(tops)]  # the lowest range gets the highest one's first document
     heads = F.broadcast(docs.sparkSession.createDataFrame(below, "doc_id long, above int"))
     heads = docs.join(heads, "doc_id").withColumn("nth", F.row_number().over(Window.partitionBy("above").orderBy(F.desc("version")))).where("nth = 1")
     heads = heads.select("doc_id", "text", "version", F.col("above").alias("range"), F.lit(True).alias("copy"))
     order = Window.partitionBy("range").orderBy("copy", F.desc("doc_id"), F.desc("version"))
     dealt = docs.select("doc_id", "text", "version", "range", F.lit(False).alias("copy")).union(heads)
-    return dealt.withColumn("next_text", F.lead("text").over(order)).where("not copy").select("doc_id", "version", "text", "next_text", "range")
+    # digests and sketches are made once per text, after it has moved
+    dealt = dealt.repartition("range").withColumn("a", paragraphs(F.col("text"))).withColumn("ca", F.expr(sketch("a")))
+    ahead = [F.lead(c).over(order).alias(n) for c, n in (("text", "next_text"), ("a", "b"), ("ca", "cb"))]
+    return dealt.select("doc_id", "text", "a", "ca", "copy", *ahead).where("not copy").drop("copy")
 
 
 def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,17 +168,35 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     empty one. An only document is its own next one. An empty table gives an empty result.
     """
     docs = two_columns(docs, id_col, text_col)
-    none = docs.where("doc_id is null").select("doc_id", F.lit(0).cast("long").alias("version"), "text", F.lit("").alias("next_text"), F.lit(0).alias("range"))
+    none = docs.where("doc_id is null").withColumn("a", paragraphs(F.col("text"))).withColumn("b", paragraphs(F.lit("")))
+    none = none.select("doc_id", "text", "a", F.expr(sketch("a")).alias("ca"), F.lit("").alias("next_text"), "b", F.expr(sketch("b")).alias("cb"))
     rows = beside_next(docs).union(none).withColumn("n_chars", F.length("text").cast("long"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int")), F.substring("next_text", F.lit(1), third))
-    rows = rows.withColumn("edited", edited).select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), paragraphs(F.col("text")).alias("a"), paragraphs(F.col("edited")).alias("e"), paragraphs(F.col("next_text")).alias("b"))
-    rows = rows.withColumn("ca", F.expr(sketch("a"))).withColumn("ce", F.expr(sketch("e"))).withColumn("cb", F.expr(sketch("b")))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    rows = written(rows.select("row", "doc_id", "n_chars", "edited_sha256", "a", "e", "b", written_form(F.col("a"), "ca").alias("fingerprint"), written_form(F.col("e"), "ce").alias("edited_fingerprint"), F.expr(subtract("ca", "ce")).alias("de"), F.expr(subtract("ca", "cb")).alias("dn")))
-    pairs = rows.select("row", "a", F.explode(F.array(F.struct(F.lit(0).alias("pair"), F.col("e").alias("b"), F.col("de").alias("cells")), F.struct(F.lit(1).alias("pair"), F.col("b").alias("b"), F.col("dn").alias("cells")))).alias("q")).select("row", "a", "q.*")
-    found = differences(pairs).groupBy("row").agg(*(F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}_{p}") for p in (0, 1) for c in ("more", "less")))
-    out = rows.select("row", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.size("a").alias("size")).join(found, "row")
+    rows = rows.withColumn("edited", edited).withColumn("e", paragraphs(F.col("edited"))).withColumn("ce", F.expr(sketch("e")))
+    rows = rows.withColumn("p0", F.expr(peel(subtract("ca", "ce")))).withColumn("p1", F.expr(peel(subtract("ca", "cb"))))
+    # digests are kept where a pair goes on to be retried
+    rows = rows.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        written_form(F.col("a"), "ca").alias("fingerprint"),
+        written_form(F.col("e"), "ce").alias("edited_fingerprint"),
+        F.size("a").alias("size"),
+        "p0",
+        "p1",
+        F.expr("if(p0.ok AND p1.ok, NULL, a)").alias("a"),
+        F.expr("if(p0.ok, NULL, e)").alias("e"),
+        F.expr("if(p1.ok, NULL, b)").alias("b"),
+    )
+    rows = written(rows)
+    pairs = rows.select("row", "a", F.explode(F.array(F.struct(F.lit(0).alias("pair"), F.col("p0.ok").alias("ok"), F.col("e").alias("b")), F.struct(F.lit(1).alias("pair"), F.col("p1.ok").alias("ok"), "b"))).alias("q")).where("not q.ok")
+    found = differences(pairs.select("row", "q.pair", "a", "q.b")).groupBy("row").agg(*(F.sum(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}_{p}") for p in (0, 1) for c in ("more", "less")))
+    out = rows.drop("a", "e", "b").join(found, "row", "left")
+    for p in (0, 1):
+        for c in ("more", "less"):
+            out = out.withColumn(f"{c}_{p}", F.when(F.col(f"p{p}.ok"), F.col(f"p{p}.{c}")).otherwise(F.col(f"{c}_{p}")))
 
     def likeness(p: int) -> Column:
         common, every = F.col("size") - F.col(f"more_{p}"), F.col("size") + F.col(f"less_{p}")
