@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def origin_metrics(tagged: DataFrame) -> DataFrame:
     """(origin, total_read, valid, dlq): a hash aggregate that combines before the shuffle."""
-    failed = F.col("_failed_column").isNotNull()
+    failed = F.col("_failure").isNotNull()
     return tagged.groupBy(F.col("_origin").alias("origin")).agg(F.count("*").alias("total_read"), F.count_if(~failed).alias("valid"), F.count_if(failed).alias("dlq"))
 
 

@@ -70,7 +70,7 @@ class Gates:
 
 def gate_report(tagged: DataFrame, gates: Gates) -> DataFrame:
     """(gate, observed, bound, passed) over a validated frame, in one aggregate."""
-    failed = F.col("_failed_column").isNotNull()
+    failed = F.col("_failure").isNotNull()
     counts = tagged.agg(F.count("*").alias("total"), F.count_if(failed).alias("dlq"), F.count_if(~failed).alias("valid"))
     row = lambda gate, seen, bound, ok: F.struct(F.lit(gate).alias("gate"), seen.cast("double").alias("observed"), F.lit(float(bound)).alias("bound"), ok.alias("passed"))
     share = F.when(F.col("total") > 0, 100 * F.col("dlq") / F.when(F.col("total") > 0, F.col("total"))).otherwise(0.0)

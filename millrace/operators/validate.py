@@ -93,21 +93,21 @@ class Validated:
     @property
     def valid(self) -> DataFrame:
         """Typed rows with _source_file and _origin, and the run's audit columns."""
-        kept = self.tagged.where("_failed_column IS NULL")
-        return kept.select(*(F.col(f"_v.`{n}`").alias(n) for n in self.schema.names), "_source_file", "_origin", "_ingested_at", "_job_id", "_execution_id")
+        kept = self.tagged.where("_failure IS NULL")
+        return kept.select(*(F.col(f"_v_{i}").alias(n) for i, n in enumerate(self.schema.names)), "_source_file", "_origin", "_ingested_at", "_job_id", "_execution_id")
 
     @property
     def dlq(self) -> DataFrame:
         """One dead letter per failing row, sensitive values redacted in payload and message."""
-        cells = [F.lit(REDACTED) if is_sensitive(n, self.sensitive) else F.coalesce(F.col(f"_r.`{n}`"), F.lit("")) for n in self.schema.names]
+        cells = [F.lit(REDACTED) if is_sensitive(n, self.sensitive) else F.coalesce(F.col(f"_r_{i}"), F.lit("")) for i, n in enumerate(self.schema.names)]
         payload = redact_payload(F.concat(F.lit("["), F.concat_ws(" ", *cells), F.lit("]")), self.sensitive)
-        return self.tagged.where("_failed_column IS NOT NULL").select(payload.alias("raw_payload"), F.col("_message").alias("error_message"), F.col("_failed_column").alias("failed_column"), "_source_file", self.run.timestamp().alias("_failed_at"), "_origin")
+        return self.tagged.where("_failure IS NOT NULL").select(payload.alias("raw_payload"), F.col("_message").alias("error_message"), F.col("_failed_column").alias("failed_column"), "_source_file", self.run.timestamp().alias("_failed_at"), "_origin")
 
     @property
     def audit(self) -> DataFrame:
         """An ERROR event per failing row and a WARNING per soft rule that a valid row breaks."""
         event = lambda kind, severity, column, rule, message, sample: F.struct(F.lit(kind).alias("event_type"), F.lit(severity).alias("severity"), column.alias("column_name"), rule.alias("rule_name"), message.alias("message"), sample.alias("sample_value"))
-        failed = F.col("_failed_column").isNotNull()
+        failed = F.col("_failure").isNotNull()
         events = [F.when(failed, event("type_cast_failure", "ERROR", F.col("_failed_column"), F.col("_failed_rule"), F.col("_message"), F.col("_sample")))]
         for i, r in enumerate(self.rules):
             if r.action == "warn":
@@ -117,7 +117,7 @@ class Validated:
 
     def broken(self, action: str) -> DataFrame:
         """Valid rows per rule that has ``action``: (rule, column_name, n), rules nothing breaks left out."""
-        kept = self.tagged.where("_failed_column IS NULL")
+        kept = self.tagged.where("_failure IS NULL")
         counts = [F.struct(F.lit(r.type).alias("rule"), F.lit(r.column).alias("column_name"), F.count_if(F.col(f"_broken_{i}")).alias("n")) for i, r in enumerate(self.rules) if r.action == action]
         if not counts:
             return kept.sparkSession.createDataFrame([], "rule string, column_name string, n long")
@@ -142,25 +142,26 @@ def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitiv
     raw = {f.name: (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast("string") for f in schema.fields}
     pairs = {f.name: cast(raw[f.name], f, trim) for f in schema.fields}
     typed = df.select(
-        F.struct(*(raw[n].alias(n) for n in names)).alias("_r"),
-        F.struct(*(pairs[n][0].alias(n) for n in names)).alias("_t"),
-        F.struct(*(pairs[n][1].alias(n) for n in names)).alias("_v"),
+        # plain columns: the optimizer would put a struct's fields back in wherever they are used
+        *(raw[n].alias(f"_r_{i}") for i, n in enumerate(names)),
+        *(pairs[n][0].alias(f"_t_{i}") for i, n in enumerate(names)),
+        *(pairs[n][1].alias(f"_v_{i}") for i, n in enumerate(names)),
         *extra,
     )
     failures = []  # (condition, column, rule, cause, type, value)
-    for f in schema.fields:
-        t, v = F.col(f"_t.`{f.name}`"), F.col(f"_v.`{f.name}`")
+    for i, f in enumerate(schema.fields):
+        t, v = F.col(f"_t_{i}"), F.col(f"_v_{i}")
         if not f.nullable:
             failures.append((t.isNull(), f.name, "type_cast", NULL_CAUSE, f.type, F.lit("")))
         if f.type not in ("string", "bytes"):
             failures.append((t.isNotNull() & v.isNull(), f.name, "type_cast", CAST_CAUSE, f.type, t))
     # rules see the typed values under their own names
     flags = [r.broken().alias(f"_broken_{i}") for i, r in enumerate(rules)]
-    tagged = typed.select("*", "_v.*").select(*typed.columns, *flags)
+    tagged = typed.select("*", *(F.col(f"_v_{i}").alias(n) for i, n in enumerate(names))).select(*typed.columns, *flags) if rules else typed
     for i, r in enumerate(rules):
         if r.action == "quarantine":
             kind = next(f.type for f in schema.fields if f.name == r.column)
-            failures.append((F.col(f"_broken_{i}"), r.column, r.type, r.message, kind, F.col(f"_t.`{r.column}`")))
+            failures.append((F.col(f"_broken_{i}"), r.column, r.type, r.message, kind, F.col(f"_t_{names.index(r.column)}")))
     which = F.coalesce(*(F.when(cond, F.lit(i)) for i, (cond, *_) in enumerate(failures))) if failures else F.lit(None).cast("int")
     tagged = tagged.withColumn("_failure", which)
 

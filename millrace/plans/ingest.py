@@ -42,7 +42,7 @@ def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule
     spark = source.sparkSession
     checked = validate(source, schema, rules, sensitive, run, schema_id, trim).persist()
     try:
-        counts = checked.tagged.agg(F.count("*").alias("total"), F.count_if(F.col("_failed_column").isNotNull()).alias("dlq"), *(F.count_if(F.col(f"_v.`{n}`").isNull() & F.col("_failed_column").isNull()).alias(f"n{i}") for i, n in enumerate(schema.names)), *(F.count_if(F.col("_failed_column") == n).alias(f"i{i}") for i, n in enumerate(schema.names))).first()
+        counts = checked.tagged.agg(F.count("*").alias("total"), F.count_if(F.col("_failure").isNotNull()).alias("dlq"), *(F.count_if(F.col(f"_v_{i}").isNull() & F.col("_failure").isNull()).alias(f"n{i}") for i, n in enumerate(schema.names)), *(F.count_if(F.col("_failed_column") == n).alias(f"i{i}") for i, n in enumerate(schema.names))).first()
         total, dlq = counts["total"], counts["dlq"]
         write_quarantine(checked.dlq, f"{out}/quarantine")
         write_audit(checked.audit, f"{out}/quarantine")
