@@ -1,13 +1,18 @@
-"""Repeated runs of lines, found by winnowing over line hashes.
+"""Repeated runs of lines, found by hashes of windows of lines.
 
 The lines of a document that hold words are hashed. A window starts at each of them and
 spans the fewest lines that hold ``min_words`` words; a line that long is a window by itself.
-The smallest line hash in a window is its fingerprint, so runs of at least ``min_words``
-words that are equal select equal fingerprints, wherever they stand. Windows whose
-fingerprint occurs once in the corpus are done with. The others are joined on the hash of
-their whole content to the first position that has it, and every later one marks its lines;
-windows overlap line by line, so a match extends both ways as far as the texts agree.
-Marked lines are deleted: of every repeated run only the first occurrence stays.
+All windows are grouped by the hash of their whole content (none are thinned out, as
+winnowing would), and every one after the first position marks its lines. Windows overlap
+line by line, so a match extends as far as the texts agree, but for the last lines of a run
+if they hold fewer than ``min_words`` words and the window from them reaches past the run.
+
+``whole_runs`` adds the windows that end at each line. For every line in a run of at least
+``min_words`` words, the run holds the window that begins at it or the one that ends with
+the run, so each run that stands anywhere earlier is marked in full. Pairs of neighbours
+that are both windows by themselves mark the lines without words between them. A document
+has at most two windows a line. Marked lines are deleted: of every repeated run only the first
+occurrence stays.
 
 Only hashes and positions are shuffled; groups are reduced to a count or a minimum, which
 combines before the shuffle, so a line that a third of all documents share is no hot spot.
@@ -15,7 +20,7 @@ combines before the shuffle, so a line that a third of all documents share is no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import WORD, written
@@ -24,7 +29,17 @@ from .shared import WORD, written
 MIN_WORDS = 10
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def _window(members: Column) -> Column:
+    return F.struct(
+        F.array_min(members["line"]).alias("line"),
+        F.array_min(members["h"]).alias("least"),
+        F.xxhash64(members["g"], F.size(members)).alias("content"),
+        F.array_max(members["line"]).alias("last"),
+        F.aggregate(members["words"], F.lit(0), lambda n, w: n + w).alias("words"),
+    )
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
     """(doc, version, line): the lines to delete, of a table (doc, version, text)."""
     lines = docs.select("doc", "version", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
     lines = lines.select("doc", "version", "line", F.xxhash64("content").alias("h"), F.hash("content").alias("g"), F.regexp_count("content", F.lit(WORD)).alias("words")).where("words > 0")
@@ -35,40 +50,43 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = lines.withColumn("begin", F.sum("words").over(along) - F.col("words"))
     # the lines that begin within min_words words of this one's beginning
     ahead = Window.partitionBy("doc", "version").orderBy("begin").rangeBetween(0, min_words - 1)
-    windows = lines.withColumn("members", F.collect_list(F.struct("h", "g", "line", "words")).over(ahead)).select(
-        "doc",
-        "version",
-        "line",
-        F.array_min(F.col("members.h")).alias("fingerprint"),
-        F.xxhash64(F.col("members.g"), F.size("members")).alias("content"),
-        F.array_max(F.col("members.line")).alias("last"),
-        F.aggregate(F.col("members.words"), F.lit(0), lambda n, w: n + w).alias("words"),
-    )
-    windows = written(windows.where(F.col("words") >= min_words).drop("words"))
-    common = windows.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
+    member = F.struct("h", "g", "line", "words")
+    windows = lines.withColumn("ahead", _window(F.collect_list(member).over(ahead)))
+    found = F.filter(F.array("ahead"), lambda w: w["words"] >= min_words)
+    if whole_runs:
+        # the lines that end within min_words words of this one's end; without this one too few words are left, or the window is one of those ahead
+        behind = Window.partitionBy("doc", "version").orderBy("end").rangeBetween(1 - min_words, 0)
+        windows = windows.withColumn("end", F.col("begin") + F.col("words")).withColumn("behind", _window(F.collect_list(member).over(behind)))
+        found = F.concat(found, F.filter(F.array("behind"), lambda w: w["words"] - F.col("words") >= min_words))
+        # two lines that are windows by themselves, for lines without words between them
+        windows = windows.withColumn("pair", _window(F.collect_list(member).over(along.rowsBetween(-1, 0))))
+        found = F.concat(found, F.filter(F.array("pair"), lambda w: (F.col("words") >= min_words) & (w["words"] - F.col("words") >= min_words)))
+    windows = written(windows.select("doc", "version", F.inline(found)).drop("words"))
     place = F.struct("doc", "version", "line", "last")
-    first = windows.groupBy("fingerprint", "content").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").join(common, "fingerprint", "left_semi").drop("n")
-    later = windows.join(first, ["fingerprint", "content"]).where(place > F.col("first"))
+    first = windows.groupBy("least", "content").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = windows.join(first, ["least", "content"]).where(place > F.col("first"))
     # a later window that overlaps the first one in its own document spares the first one's lines
     own = (F.col("first.doc") == F.col("doc")) & (F.col("first.version") == F.col("version"))
     later = later.withColumn("from", F.when(own, F.greatest(F.col("line"), F.col("first.last") + 1)).otherwise(F.col("line")))
     return later.where("from <= last").select("doc", "version", F.explode(F.sequence("from", "last")).alias("line"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
     """``docs`` with later repeated runs cut out of the text, and two more columns: n_lines and n_deleted.
 
     Lines are separated by U+000A; words are runs of characters other than space and U+0009 to
     U+000D. A line is deleted if it is in a window (see above) that equals an earlier one, by
     (id, line): lines without words don't count in a window, and go only from inside a deleted
-    one. A window that overlaps its first occurrence in the same document leaves that whole.
+    one. With ``whole_runs`` a line is deleted if it is in any run of lines with words that holds
+    min_words words and stands earlier, however the texts go on. A window that overlaps its
+    first occurrence in the same document leaves that whole.
     Rows that repeat an id with other texts are documents of their own in the order of a text
     hash; rows alike in id and text are one document and lose the same lines. Null ids come
     last. A null text stays null (n_lines null, n_deleted 0), an empty one has one line. Other
     columns, whatever their names, are kept as they are. An empty table gives an empty result.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(F.col(text_col)).alias("version")
-    marked = repeated_lines(docs.where(F.col(text_col).isNotNull()).select(*key, F.col(text_col).alias("text")), min_words)
+    marked = repeated_lines(docs.where(F.col(text_col).isNotNull()).select(*key, F.col(text_col).alias("text")), min_words, whole_runs)
     marks = marked.groupBy("doc", "version").agg(F.array_sort(F.collect_set("line")).alias("marks"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), *key).join(marks, ["doc", "version"], "left")
     lines = F.split(F.col("row")[text_col], "\n", -1)

@@ -33,7 +33,7 @@ def op2_invertible_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs)
+    return dedup_lines(docs, whole_runs=True)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
