@@ -123,9 +123,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
         contexts = edges.join(scores, "value").groupBy("context").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence"), F.count("*").alias("n"))
         contexts = written(contexts.where((F.col("n") >= MIN_VALUES) & (F.col("confidence") >= MIN_CONTEXT)).drop("n"))
         doubt = F.sum(F.log(1 - F.coalesce("confidence", F.lit(0.0))))
-        scores = written(edges.join(contexts, "context", "left").groupBy("value").agg(F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(doubt)).alias("score")))
+        scores = written(edges.join(contexts, "context", "left").groupBy("value").agg(F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(doubt)).alias("score"), F.max("seed").alias("known")))
     if contexts is not None:
-        sure = scores.where((F.col("score") >= MIN_CONTEXT) & (F.col("score") < 1.0)).select("value")
+        # a score in many confident contexts rounds to 1.0, so seeds are told by their flag
+        sure = scores.where((F.col("score") >= MIN_CONTEXT) & ~F.col("known")).select("value")
         fresh = entities.where("not seed").join(sure, "value", "left_semi").select("row", "begin", "end")
         fresh = fresh.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("context"))
         found = found.join(fresh, "row", "left")
