@@ -5,7 +5,8 @@ authorisation header, a connection string) is a secret if it cannot be guessed f
 surrounds it. That is measured: the context before the token is compressed with a
 dictionary of identifiers and words of code, then the context with the token; the growth
 is what the token costs. Placeholders, paths and names repeat what the dictionary or the
-context holds and cost little; random strings cost nearly their entropy.
+context holds and cost little; random strings cost nearly their entropy. Candidates overlap: each
+name is looked at with what follows it, also inside the token of a name before it.
 
 One pass over the texts; no rows move.
 """
@@ -28,8 +29,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-#: A token and the name before it; the name decides if the context is sensitive.
-_CANDIDATE = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]{0,60})[\"']?[ \t]{0,4}(?:=>|:=|[:=]|[ \t])[ \t]{0,4}[\"'`]?((?:[A-Za-z0-9+/_=~!@#$%^&*.-]){16,})")
+#: A token and the nearest name before it, with or without a type; the name decides if the context is sensitive.
+_CANDIDATE = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]{0,60})[\"'`]?\]?[ \t]{0,4}(?::[ \t]{0,4}[A-Za-z_][A-Za-z0-9_.\[\]]{0,40}[ \t]{0,4}=|=>|:=|[:=]|[ \t])[ \t]{0,4}[\"'`]?((?:[A-Za-z0-9+/_=~!@#$%^&*.-]){16,})")
+#: Where a name in camel case has its next word.
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])")
+#: The password of a connection string.
+_CONNECTION = re.compile(r"(?<=://)[^\s:/?#@\"'`<>]*:([^\s/@\"'`<>]{12,})@")
 _SENSITIVE = re.compile(r"(?:^|[_.-])(?:key|auth|authorization|bearer|basic|cred|creds|credential|credentials|pwd|pass|passphrase|private|signature|sig|salt|jwt|session|cookie|hmac|secret|token|password|passwd|apikey|dsn|sas)(?:$|[_.-])", re.A | re.I)
 #: A cheap necessary condition for a sensitive name.
 _WORDS = ("key", "auth", "bearer", "basic", "cred", "pwd", "pass", "private", "sig", "salt", "jwt", "session", "cookie", "hmac", "secret", "token", "dsn", "sas")
@@ -87,20 +92,30 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def novel_spans(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Incompressible tokens in a sensitive context that no known span overlaps."""
     low = text.lower()
-    if not any(w in low for w in _WORDS):
+    if "://" not in text and not any(w in low for w in _WORDS):
         return []
     out = []
-    for m in _CANDIDATE.finditer(text):
-        a, b = m.span(2)
-        token = m[2].rstrip(".!?&%#*$,")  # sentence and mark-up ends are not part of it
+
+    def judged(a: int, token: str) -> bool:
         b = a + len(token)
         mixed = bool(re.search("[0-9]", token)) + bool(re.search("[a-z]", token)) + bool(re.search("[A-Z]", token))
-        if len(token) < 16 or mixed < 2 or not _SENSITIVE.search(m[1]) or any(s < b and a < e for _, s, e in known):
-            continue
+        if mixed < 2 or any(s < b and a < e for _, s, e in known) or any(s < b and a < e for _, s, e in out):
+            return False
         cost = novelty(text[max(0, a - CONTEXT) : a], token)
-        if cost >= MIN_BYTES and cost >= MIN_RATIO * len(token):
-            out.append(("novel", a, b))
-    return out
+        if cost < MIN_BYTES or cost < MIN_RATIO * len(token):
+            return False
+        out.append(("novel", a, b))
+        return True
+
+    if "://" in text:
+        for m in _CONNECTION.finditer(text):
+            judged(m.start(1), m[1])
+    at = 0
+    while m := _CANDIDATE.search(text, at):
+        token = m[2].rstrip(".!?&%#*$,")  # sentence and mark-up ends are not part of it
+        found = len(token) >= 16 and (_SENSITIVE.search(m[1]) or _SENSITIVE.search(_HUMP.sub("_", m[1]))) and judged(m.start(2), token)
+        at = m.start(2) + len(token) if found else m.end(1)  # what follows a rejected name may be a name itself
+    return sorted(out, key=lambda s: s[1])
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:
