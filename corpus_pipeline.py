@@ -38,8 +38,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    copies = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    """One document of each group of near copies (0.8 or more of their five-word shingles) stays: the one with the smallest id."""
+    copies = near_duplicates(docs, percent=80).where("not kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti")
 
 

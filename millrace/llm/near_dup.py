@@ -40,6 +40,8 @@ from .shingles import mix, shingle_sets
 SAMPLES = 128
 #: A pair at 0.85 shares all 6 samples of one band with p = 0.38: 40 bands miss it once in 10^7 or less.
 BAND_ROWS, BANDS = 6, 40
+#: Below NARROW percent each band has samples of its own: at 0.80 a pair shares those of one band with p = 0.26, and 40 miss it 5 times in 10^6.
+NARROW = 85
 SKETCH_BITS = 512
 #: Parity bitmap of the whole set.
 SET_BITS = 4096
@@ -53,20 +55,24 @@ _MUL = _rng.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.u
 _ADD = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 _SUBSETS = np.array([_rng.choice(SAMPLES, BAND_ROWS, replace=False) for _ in range(BANDS)])
 _SALT = mix(_rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64))
+_SEPARATE = np.arange(BANDS * BAND_ROWS).reshape(BANDS, BAND_ROWS)
+_MUL = np.append(_MUL, _rng.integers(1, 1 << 63, BANDS * BAND_ROWS - SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+_ADD = np.append(_ADD, _rng.integers(0, 1 << 63, BANDS * BAND_ROWS - SAMPLES, dtype=np.uint64))
 
 
-def minhash(hashes: np.ndarray) -> np.ndarray:
-    """The smallest of the hashes under each of SAMPLES multiply-add permutations."""
-    least = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
+def minhash(hashes: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """The smallest of the hashes under each of the first multiply-add permutations."""
+    least = np.full(samples, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(hashes), 4096):
-        least = np.minimum(least, (hashes[i : i + 4096, None] * _MUL + _ADD).min(axis=0))
+        least = np.minimum(least, (hashes[i : i + 4096, None] * _MUL[:samples] + _ADD[:samples]).min(axis=0))
     return least
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
+    subsets = _SUBSETS if len(samples) == SAMPLES else _SEPARATE
     keys = np.arange(BANDS, dtype=np.uint64)
     for r in range(BAND_ROWS):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[_SUBSETS[:, r]])
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[subsets[:, r]])
     return keys.view(np.int64)
 
 
@@ -98,7 +104,8 @@ def estimate(differing: np.ndarray) -> np.ndarray:
     return 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(left)
 
 
-def _signatures(k: int):
+def _signatures(k: int, percent: int):
+    samples = SAMPLES if percent >= NARROW else _SEPARATE.size
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()), ("bitmap", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,8 +115,8 @@ def _signatures(k: int):
             for at in range(0, batch.num_rows, 256):
                 for s in shingle_sets(texts.slice(at, 256).to_pylist(), k):
                     if len(s):
-                        m = minhash(mix(s))
-                        rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_keys(m), odd_sketch(m), set_sketch(s)))
+                        m = minhash(mix(s), samples)
+                        rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_keys(m), odd_sketch(m[:SAMPLES]), set_sketch(s)))
                     else:
                         rows.append((0, None, None, None, None))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
@@ -258,7 +265,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has a null component and is kept. An empty table gives an empty result.
     """
     docs = two_columns(docs, id_col, text_col)
-    run, schema = _signatures(k)
+    run, schema = _signatures(k, percent)
     sig = written(docs.mapInArrow(run, schema))
     full = sig.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
