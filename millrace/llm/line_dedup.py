@@ -1,21 +1,25 @@
-"""Repeated runs of lines, found by hashes of windows of lines.
-
-The lines of a document that hold words are hashed. A window starts at each of them and
-spans the fewest lines that hold ``min_words`` words; a line that long is a window by itself.
-All windows are grouped by the hash of their whole content (none are thinned out, as
-winnowing would), and every one after the first position marks its lines. Windows overlap
-line by line, so a match extends as far as the texts agree, but for the last lines of a run
-if they hold fewer than ``min_words`` words and the window from them reaches past the run.
-
-``whole_runs`` adds the windows that end at each line. For every line in a run of at least
-``min_words`` words, the run holds the window that begins at it or the one that ends with
-the run, so each run that stands anywhere earlier is marked in full. Pairs of neighbours
-that are both windows by themselves mark the lines without words between them. A document
-has at most two windows a line. Marked lines are deleted: of every repeated run only the first
-occurrence stays.
-
-Only hashes and positions are shuffled; groups are reduced to a count or a minimum, which
-combines before the shuffle, so a line that a third of all documents share is no hot spot.
+"""Repeated runs of lines by winnowing over line hashes.
+
+1. *Windows.* The lines of a document that hold words are hashed. A window starts at each of
+   them and spans the fewest lines that hold ``min_words`` words, so that every run of that many
+   words holds a window.
+2. *Winnowing.* Of each window the line with the smallest hash is selected (of equal ones the
+   last). Neighbouring windows mostly select the same line, which then is one fingerprint:
+   only these thinned positions are counted. A run that two documents share has a window in
+   common, and so a fingerprint: none is missed.
+3. *Join.* Positions are joined on fingerprints that stand more than once. The windows around
+   such a position, those that selected it, are matched with the first place of the same lines;
+   where neighbouring windows match, the match grows to the left and to the right.
+4. *Extension.* Beyond the last window that matches, fewer than ``min_words`` words can be left
+   of a run. Each matched window is extended line by line as far as the next window reaches,
+   and the longest extension that stands earlier counts (``whole_runs``).
+5. *Deletion.* Of every repeated run only the first occurrence stays.
+
+Lines and runs are equal if two differently seeded 64-bit hashes are, 128 bits together.
+
+Only hashes and positions are shuffled. Groups are reduced to a count and a first place, which
+combine before the shuffle, and keys with more than a thousandth of the rows are joined by
+broadcast, so a line that a third of all documents share is no hot spot.
 """
 
 from __future__ import annotations
@@ -23,26 +27,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, written
+from .shared import WORD, joined, written
 
 #: Words of a run that count as a repetition.
 MIN_WORDS = 10
 
 
-def _window(members: Column) -> Column:
-    return F.struct(
-        F.array_min(members["line"]).alias("line"),
-        F.array_min(members["h"]).alias("least"),
-        F.xxhash64(members["g"], F.size(members)).alias("content"),
-        F.array_max(members["line"]).alias("last"),
-        F.aggregate(members["words"], F.lit(0), lambda n, w: n + w).alias("words"),
-    )
+def _content(members: Column) -> list[Column]:
+    return [F.xxhash64(members["h"]).alias("c1"), F.xxhash64(members["g"]).alias("c2")]
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
-    """(doc, version, line): the lines to delete, of a table (doc, version, text)."""
+def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per window of a table (doc, version, text): its lines (line to last), the selected
+    one and its hash (position, fingerprint), whether the window is the first that selected it
+    (head), its content (c1, c2), and the contents of its extensions."""
     lines = docs.select("doc", "version", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
-    lines = lines.select("doc", "version", "line", F.xxhash64("content").alias("h"), F.hash("content").alias("g"), F.regexp_count("content", F.lit(WORD)).alias("words")).where("words > 0")
+    lines = lines.select("doc", "version", "line", F.xxhash64("content").alias("h"), F.xxhash64(F.lit(1), "content").alias("g"), F.regexp_count("content", F.lit(WORD)).alias("words")).where("words > 0")
     # rows that are alike are one document here: of each of its lines one is gone through
     alike = Window.partitionBy("doc", "version", "line").orderBy("h")
     lines = lines.repartition("doc", "version").withColumn("nth", F.row_number().over(alike)).where("nth = 1").drop("nth")
@@ -50,25 +50,48 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole_runs: bool
     lines = lines.withColumn("begin", F.sum("words").over(along) - F.col("words"))
     # the lines that begin within min_words words of this one's beginning
     ahead = Window.partitionBy("doc", "version").orderBy("begin").rangeBetween(0, min_words - 1)
-    member = F.struct("h", "g", "line", "words")
-    windows = lines.withColumn("ahead", _window(F.collect_list(member).over(ahead)))
-    found = F.filter(F.array("ahead"), lambda w: w["words"] >= min_words)
-    if whole_runs:
-        # the lines that end within min_words words of this one's end; without this one too few words are left, or the window is one of those ahead
-        behind = Window.partitionBy("doc", "version").orderBy("end").rangeBetween(1 - min_words, 0)
-        windows = windows.withColumn("end", F.col("begin") + F.col("words")).withColumn("behind", _window(F.collect_list(member).over(behind)))
-        found = F.concat(found, F.filter(F.array("behind"), lambda w: w["words"] - F.col("words") >= min_words))
-        # two lines that are windows by themselves, for lines without words between them
-        windows = windows.withColumn("pair", _window(F.collect_list(member).over(along.rowsBetween(-1, 0))))
-        found = F.concat(found, F.filter(F.array("pair"), lambda w: (F.col("words") >= min_words) & (w["words"] - F.col("words") >= min_words)))
-    windows = written(windows.select("doc", "version", F.inline(found)).drop("words"))
-    place = F.struct("doc", "version", "line", "last")
-    first = windows.groupBy("least", "content").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = windows.join(first, ["least", "content"]).where(place > F.col("first"))
-    # a later window that overlaps the first one in its own document spares the first one's lines
+    lines = lines.withColumn("ahead", F.collect_list(F.struct("h", "g", "line", "words")).over(ahead))
+    lines = lines.withColumn("next", F.coalesce(F.lead("ahead").over(along), F.slice("ahead", 1, 0)))
+    least = F.array_min(F.transform("ahead", lambda m: F.struct(m["h"].alias("h"), (-m["line"]).alias("at"))))
+    full = F.aggregate(F.col("ahead")["words"], F.lit(0), lambda n, w: n + w) >= min_words
+    rows = lines.where(full).select("doc", "version", "line", "ahead", F.array_max(F.col("ahead")["line"]).alias("last"), F.filter("next", lambda m: m["line"] > F.array_max(F.col("ahead")["line"])).alias("beyond"), least.alias("least"))
+
+    def extended(_: Column, i: Column) -> Column:
+        members = F.concat("ahead", F.slice("beyond", 1, i + 1))
+        return F.struct(F.get("beyond", i)["line"].alias("last"), *_content(members))
+
+    position = -F.col("least.at")
+    head = ~F.lag(position).over(along).eqNullSafe(position)
+    return rows.select("doc", "version", "line", "last", position.alias("position"), F.col("least.h").alias("fingerprint"), head.alias("head"), *_content(F.col("ahead")), F.transform("beyond", extended).alias("extensions"))
+
+
+def _first_places(runs: DataFrame) -> DataFrame:
+    """(c1, c2, first, n) of the contents that more than one run has."""
+    return runs.groupBy("c1", "c2").agg(F.min(F.struct("doc", "version", "line", "last")).alias("first"), F.count("*").alias("n")).where("n > 1")
+
+
+def _later(runs: DataFrame) -> DataFrame:
+    """(doc, version, from, last) of the runs that are not the first of their content. One that
+    overlaps the first one in its own document spares the first one's lines."""
     own = (F.col("first.doc") == F.col("doc")) & (F.col("first.version") == F.col("version"))
+    later = runs.where(F.struct("doc", "version", "line", "last") > F.col("first"))
     later = later.withColumn("from", F.when(own, F.greatest(F.col("line"), F.col("first.last") + 1)).otherwise(F.col("line")))
-    return later.where("from <= last").select("doc", "version", F.explode(F.sequence("from", "last")).alias("line"))
+    return later.where("from <= last").select("doc", "version", "from", "last")
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
+    """(doc, version, line): the lines to delete, of a table (doc, version, text)."""
+    every = written(windows(docs, min_words))
+    shared = every.where("head").groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1")
+    around = written(joined(every, shared, ["fingerprint"]).select("doc", "version", "line", "last", "c1", "c2", "extensions"))
+    matched = joined(around, _first_places(around), ["c1", "c2"]).drop("c1", "c2", "n")
+    if whole_runs:
+        matched = written(matched)
+        runs = matched.select("doc", "version", "line", F.inline("extensions"))
+        later = _later(matched).union(_later(joined(runs, _first_places(runs), ["c1", "c2"])))
+    else:
+        later = _later(matched)
+    return later.select("doc", "version", F.explode(F.sequence("from", "last")).alias("line"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
@@ -77,9 +100,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines are separated by U+000A; words are runs of characters other than space and U+0009 to
     U+000D. A line is deleted if it is in a window (see above) that equals an earlier one, by
     (id, line): lines without words don't count in a window, and go only from inside a deleted
-    one. With ``whole_runs`` a line is deleted if it is in any run of lines with words that holds
-    min_words words and stands earlier, however the texts go on. A window that overlaps its
-    first occurrence in the same document leaves that whole.
+    one. With ``whole_runs`` matches are extended, so that a line is deleted if it is in any run
+    of lines with words that holds min_words words and stands earlier, however the texts go on.
+    A run that overlaps its first occurrence in the same document leaves that whole.
     Rows that repeat an id with other texts are documents of their own in the order of a text
     hash; rows alike in id and text are one document and lose the same lines. Null ids come
     last. A null text stays null (n_lines null, n_deleted 0), an empty one has one line. Other
@@ -97,3 +120,28 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns = [(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns if c not in ("n_lines", "n_deleted")]
     n_lines = F.when(F.col("row")[text_col].isNotNull(), F.size("lines")).cast("long")
     return rows.select(*columns, n_lines.alias("n_lines"), F.when(F.col("marks").isNull(), 0).otherwise(F.size("marks")).cast("long").alias("n_deleted"))
+
+
+#: What ``dedup_lines`` with ``whole_runs`` returns on (doc_id, text) of the table documents, in
+#: DuckDB's SQL: every run of lines that holds ten words, and fewer without its two ends, is
+#: compared by its text, without windows, minima or hashes.
+LINES_SQL = """
+WITH t AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+e AS (SELECT doc_id, unnest(lines) AS content, unnest(range(len(lines))) AS line FROM t WHERE text IS NOT NULL),
+w AS (SELECT *, len(regexp_extract_all(content, '[^\\x20\\x09-\\x0D]+')) AS words FROM e),
+b AS (SELECT *, row_number() OVER o AS k, sum(words) OVER o AS upto FROM w WHERE words > 0 WINDOW o AS (PARTITION BY doc_id ORDER BY line)),
+c AS (SELECT doc_id, list(content ORDER BY line) AS held FROM b GROUP BY doc_id),
+r AS (
+  SELECT a.doc_id, a.line AS begin, z.line AS last, array_to_string(held[a.k:z.k], chr(10)) AS content
+  FROM b AS a JOIN b AS z ON a.doc_id = z.doc_id AND z.k >= a.k AND z.upto - (a.upto - a.words) >= %(n)d AND (z.upto - z.words) - a.upto < %(n)d
+  JOIN c ON c.doc_id = a.doc_id),
+f AS (SELECT *, first_value(doc_id) OVER o AS first_doc, first_value(begin) OVER o AS first_begin, first_value(last) OVER o AS first_last
+      FROM r WINDOW o AS (PARTITION BY content ORDER BY doc_id, begin)),
+g AS (SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = first_doc THEN greatest(begin, first_last + 1) ELSE begin END, last + 1)) AS line
+      FROM f WHERE doc_id > first_doc OR begin > first_begin),
+k AS (SELECT e.doc_id, string_agg(e.content, chr(10) ORDER BY e.line) FILTER (g.line IS NULL) AS kept, count(g.line) AS n
+      FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.line = g.line GROUP BY e.doc_id)
+SELECT t.doc_id, CASE WHEN t.text IS NOT NULL THEN coalesce(k.kept, '') END AS text,
+       CAST(len(t.lines) AS BIGINT) AS n_lines, CAST(coalesce(k.n, 0) AS BIGINT) AS n_deleted
+FROM t LEFT JOIN k ON k.doc_id = t.doc_id
+""" % {"n": MIN_WORDS}

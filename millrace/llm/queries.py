@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .audio import excerpt, identify, sonify
 from .fingerprints import fingerprint_versions
-from .line_dedup import dedup_lines
+from .line_dedup import LINES_SQL, dedup_lines
 from .mixing import MIX_SQL, mix
 from .near_dup import near_duplicates
 from .packing import pack
@@ -88,4 +88,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_weighted_fair_mixing": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL}

@@ -9,6 +9,8 @@ from ..workspace import shared_folder
 
 #: White space of the word definition used across the operators: space, tab, LF, VT, FF, CR.
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Keys that ``joined`` broadcasts are fewer than this.
+HOT_KEYS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined(rows: DataFrame, keyed: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with what ``keyed`` has for their key: one row per key, with the number ``n`` of
+    rows that have it at least. Keys with more than one in HOT_KEYS of all rows, of which there
+    are fewer than HOT_KEYS, are joined by broadcast, so that none of them fills one task.
+    ``rows`` is gone through twice and should be a table."""
+    keyed = written(keyed)
+    limit = (keyed.agg(F.sum("n")).first()[0] or 0) / HOT_KEYS
+    hot = F.broadcast(keyed.where(F.col("n") > limit))
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(keyed.where(F.col("n") <= limit), on)
+    return rows.join(hot, on).unionByName(rest)
+
+
 def two_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text (null read as empty) under fixed names, so that no
     other column of the caller can clash."""
