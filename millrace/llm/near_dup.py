@@ -7,14 +7,19 @@ Plan of the job:
    into which the samples are folded, and a wider one into which the whole set is folded.
    Only these few hundred bytes move on.
 2. Documents with the same set form a class (an aggregate that combines before the
-   shuffle, so thousands of copies cost one row per task); the rest works on classes.
+   shuffle, so thousands of copies cost one row per task); the rest works on classes,
+   named by the digest of their set.
 3. Classes that share a band key are compared with the smallest class under that key,
    which is linear in the number of keys. The odd sketches drop pairs that cannot be
    similar, the full sets confirm the rest, and the confirmed links are joined to
    components.
-4. Under each band key only pairs of *different* components are still open. They are
-   compared inside the task, sketch against sketch, in blocks of bounded size, and only
-   pairs that pass both sketches leave the task, to be confirmed on full sets as well.
+4. Under each band key only pairs of *different* components are still open. The members
+   outside the key's largest component are compared with all members, inside the task,
+   sketch against sketch, in blocks of bounded size: one stray member among a million
+   costs each of these one comparison and no copy. Only pairs that pass both sketches
+   leave the task, to be confirmed on full sets as well.
+5. Links between classes become links between the smallest ids of these. An id that has
+   several texts ties their classes.
 
 The bits in which two whole-set sketches differ are never more than the shingles in which
 the sets differ, so that test loses no link.
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import two_columns, written
+from .shared import joined, two_columns, written
 from .shingles import mix, shingle_sets
 
 SAMPLES = 128
@@ -116,7 +121,7 @@ def _signatures(k: int, percent: int):
                 for s in shingle_sets(texts.slice(at, 256).to_pylist(), k):
                     if len(s):
                         m = minhash(mix(s), samples)
-                        rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_keys(m), odd_sketch(m[:SAMPLES]), set_sketch(s)))
+                        rows.append((len(s), _digest(s), band_keys(m), odd_sketch(m[:SAMPLES]), set_sketch(s)))
                     else:
                         rows.append((0, None, None, None, None))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
@@ -125,15 +130,19 @@ def _signatures(k: int, percent: int):
     return run, "doc_id long, n_shingles long, set_id binary, bands array<long>, sketch binary, bitmap binary"
 
 
+def _digest(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(texts.slice(at, 64).to_pylist(), k)], pa.binary())], ["doc_id", "shingles"])
+                sets = list(shingle_sets(texts.slice(at, 64).to_pylist(), k))
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_id", "shingles"])
 
-    return run, "doc_id long, shingles binary"
+    return run, "set_id binary, shingles binary"
 
 
 def _confirm(percent: int):
@@ -152,7 +161,7 @@ def _confirm(percent: int):
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run, "a long, b long"
+    return run, "a binary, b binary"
 
 
 def _close_enough(percent: int):
@@ -172,7 +181,8 @@ def _close_enough(percent: int):
 
 
 def _open_pairs(percent: int):
-    """Pairs of different components within each block pair of a band key, by their sketches.
+    """Pairs of different components within each block pair of a band key, by their sketches:
+    a member outside the largest component (side 0) with a member of any (side 1).
 
     The rows come sorted by block pair. Most of these have a few rows, so they are cut out of
     the batch as array slices; the last one of a batch waits for the next batch.
@@ -182,8 +192,9 @@ def _open_pairs(percent: int):
     def matrix(column: pa.Array) -> np.ndarray:
         return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), -1)
 
-    def compare(r: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray, out: list[np.ndarray]) -> None:
-        """Pairs of a row of left and a row of right, given as row numbers."""
+    def group(r: dict[str, np.ndarray], a: int, b: int, out: list[np.ndarray]) -> None:
+        rows = np.arange(a, b)
+        left, right = rows[r["side"][a:b] == 0], rows[r["side"][a:b] == 1]
         if not len(left) or not len(right):
             return
         sketch, comp, size = r["sketch"][right].T.copy(), r["component"][right], r["size"][right]
@@ -193,33 +204,21 @@ def _open_pairs(percent: int):
             at = at[100 * np.minimum(size[at], r["size"][i]) >= percent * np.maximum(size[at], r["size"][i])]
             if len(at):
                 d = np.bitwise_count(r["bitmap"][right[at]] ^ r["bitmap"][i]).sum(axis=1, dtype=np.int64)
-                hit = r["rep"][right[at[d * (100 + percent) <= (size[at] + r["size"][i]) * (100 - percent)]]]
-                out.append(np.stack([np.minimum(hit, r["rep"][i]), np.maximum(hit, r["rep"][i])], axis=1))
-
-    def group(r: dict[str, np.ndarray], a: int, b: int, out: list[np.ndarray]) -> None:
-        # pairs within the largest component are settled, so its rows need not be gone through
-        names, counts = np.unique(r["component"][a:b], return_counts=True)
-        if len(names) < 2:
-            return
-        rows = np.arange(a, b)
-        large = r["component"][a:b] == names[counts.argmax()]
-        if r["x"][a] == r["y"][a]:
-            return compare(r, rows[~large], rows, out)
-        first = r["side"][a:b] == 0
-        compare(r, rows[first & ~large], rows[~first], out)
-        compare(r, rows[~first & ~large], rows[first & large], out)
+                hit = right[at[d * (100 + percent) <= (size[at] + r["size"][i]) * (100 - percent)]]
+                if len(hit):
+                    out.append(np.stack([np.full(len(hit), r["set_id"][i]), r["set_id"][hit]], axis=1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
 
         def found(out: list[np.ndarray]) -> pa.RecordBatch:
-            pairs = np.unique(np.concatenate([np.zeros((0, 2), dtype=np.int64), *out]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            pairs = {(min(p), max(p)) for rows in out for p in rows.tolist()}
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "x", "y", "side", "rep", "component", "size")}
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "x", "y", "side", "set_id", "component", "size")}
             rows |= {c: matrix(batch.column(c)) for c in ("sketch", "bitmap")}
             if held:
                 rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
@@ -235,18 +234,20 @@ def _open_pairs(percent: int):
             group(held, 0, len(held["key"]), out)
             yield found(out)
 
-    return run, "a long, b long"
+    return run, "a binary, b binary"
 
 
-def _links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of set digests whose full sets are similar enough."""
+    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    ids = wanted.join(reps.select("set_id", F.col("rep").alias("doc_id")), "set_id").select("doc_id").distinct()
     run, schema = _sets(k)
-    sets = written(docs.join(ids, "doc_id", "left_semi").mapInArrow(run, schema))
+    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(run, schema).join(wanted, "set_id", "left_semi")
+    sets = written(sets.groupBy("set_id").agg(F.any_value("shingles").alias("shingles")))
     run, schema = _confirm(percent)
     return (
-        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
+        pairs.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa")), "a")
+        .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb")), "b")
         .select("a", "b", "sa", "sb")
         .mapInArrow(run, schema)
     )
@@ -261,54 +262,83 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id reachable over links and kept marks that document.
 
     Null or wordless texts have an empty set and stay alone. Rows that repeat an id count as
-    one document that has each of the texts. A row with a null id is linked with nothing,
+    one document that has each of the texts, and is linked by each of them. A row with a null id is linked with nothing,
     has a null component and is kept. An empty table gives an empty result.
     """
     docs = two_columns(docs, id_col, text_col)
     run, schema = _signatures(k, percent)
     sig = written(docs.mapInArrow(run, schema))
     full = sig.where("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    reps = written(full.join(classes, "set_id").where("doc_id = rep").select("rep", "set_id", F.col("n_shingles").alias("size"), "bands", "sketch", "bitmap").dropDuplicates(["rep", "set_id"]))
-    sketches = reps.select("rep", "size", "sketch", "bitmap").dropDuplicates(["rep"])
-
-    keys = reps.select("rep", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    keys = written(keys.join(shared, "key").select("key", "rep", "pivot", "n"))
+    classes = written(full.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
+    # one row per set: a row of its smallest id
+    reps = written(joined(full, classes, ["set_id"]).where("doc_id = rep").select("set_id", "rep", F.col("n_shingles").alias("size"), "bands", "sketch", "bitmap").dropDuplicates(["set_id"]))
+    sketches = reps.select("set_id", "size", "sketch", "bitmap")
+    id_of = reps.select("set_id", "rep")
+
+    keys = reps.select("set_id", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    keys = written(joined(keys, shared, ["key"]).select("key", "set_id", "pivot"))
     close = _close_enough(percent)
     pairs = (
-        keys.where("rep <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+        keys.where("set_id <> pivot")
+        .select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
         .distinct()
-        .join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"), F.col("bitmap").alias("ba"), F.col("size").alias("na")), "a")
-        .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"), F.col("bitmap").alias("bb"), F.col("size").alias("nb")), "b")
+        .join(sketches.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa"), F.col("bitmap").alias("ba"), F.col("size").alias("na")), "a")
+        .join(sketches.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb"), F.col("bitmap").alias("bb"), F.col("size").alias("nb")), "b")
         .where(close("sa", "sb", "ba", "bb", "na", "nb"))
         .select("a", "b")
     )
-    links = written(_links(written(pairs), docs, k, percent))
+
+    def between_ids(links: DataFrame) -> DataFrame:
+        links = links.join(id_of.select(F.col("set_id").alias("a"), F.col("rep").alias("x")), "a")
+        return links.join(id_of.select(F.col("set_id").alias("b"), F.col("rep").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    # an id that has several texts ties their sets, by the smallest ids of these
+    several = full.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo <> hi").select("doc_id")
+    several = full.join(several, "doc_id").select("set_id", "doc_id").distinct().join(id_of, "set_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    links = written(between_ids(_links(written(pairs), reps, docs, k, percent)).union(several))
     found = components(links)
 
-    tagged = keys.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = (
-        tagged.join(mixed, "key")
-        .join(sketches, "rep")
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .select("key", "rep", "component", "size", "sketch", "bitmap", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("key", "rep", "component", "size", "sketch", "bitmap", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
-    )
+    def component_of(rows: DataFrame) -> DataFrame:
+        return rows.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    tagged = written(keys.drop("pivot").join(component_of(id_of).drop("rep"), "set_id"))
+    counts = tagged.groupBy("key", "component").agg(F.count("*").alias("m"))
+    mixed = counts.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.sum("m").alias("n"), F.max("m").alias("m"), F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
+    rows = joined(tagged, mixed, ["key"]).join(sketches, "set_id")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    rows = rows.withColumn("strays", blocks(F.col("n") - F.col("m"))).withColumn("blocks", blocks(F.col("n")))
+    own = lambda n: F.pmod(F.xxhash64("set_id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    data = ["key", "set_id", "component", "size", "sketch", "bitmap"]
+    dealt = rows.where("component <> largest").select(*data, own(F.col("strays")).alias("x"), every(F.col("blocks")).alias("y"), F.lit(0).alias("side"))
+    dealt = dealt.union(rows.select(*data, every(F.col("strays")).alias("x"), own(F.col("blocks")).alias("y"), F.lit(1).alias("side")))
     run, schema = _open_pairs(percent)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the rows are few, the work on them is not
     more = written(dealt.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema).distinct())
     if not more.isEmpty():
-        links = links.union(_links(more, docs, k, percent))
+        links = links.union(between_ids(_links(more, reps, docs, k, percent)))
         found = components(links)
-    of_class = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component"))
-    return (
-        sig.select("doc_id", "n_shingles", "set_id")
-        .join(of_class, "set_id", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+    of_class = component_of(classes.select("set_id", "rep", "n")).select("set_id", "component", "n")
+    named = joined(sig.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "set_id"), of_class, ["set_id"]).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    alone = sig.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return named.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+#: What ``near_duplicates`` returns on the table documents, in DuckDB's SQL: all pairs that share a shingle.
+NEAR_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS hits FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM c JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * hits >= 85 * (x.n + y.n - hits)),
+r AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT r.doc_id, q.b FROM r JOIN (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) AS q ON q.a = r.other)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id, min(r.other) = r.doc_id AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

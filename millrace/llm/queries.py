@@ -14,7 +14,7 @@ from .audio import excerpt, identify, sonify
 from .fingerprints import fingerprint_versions
 from .line_dedup import LINES_SQL, dedup_lines
 from .mixing import MIX_SQL, mix
-from .near_dup import near_duplicates
+from .near_dup import NEAR_SQL, near_duplicates
 from .packing import pack
 from .pii import find_pii
 from .secrets import find_secrets
@@ -88,4 +88,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL, "op7_minhash_near_dup": NEAR_SQL}
