@@ -20,7 +20,7 @@ from .pii import find_pii
 from .secrets import find_secrets
 from .shared import table
 from .toxicity import toxicity
-from .warc import round_trip
+from .warc import ROUND_TRIP_SQL, round_trip
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +88,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL, "op7_minhash_near_dup": NEAR_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL, "op7_minhash_near_dup": NEAR_SQL, "op8_warc_normaliser": ROUND_TRIP_SQL}

@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import shared_folder
-from .shared import written
+from .shared import joined, written
 
 #: Uncompressed bytes after which a writer starts the next archive.
 ARCHIVE_BYTES = 48 << 20
@@ -38,14 +38,20 @@ def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record_id(page_id: int | None, digest: str, nth: int = 1) -> str:
+    """A name of its own for each record: page, payload, and a number if both repeat. A page
+    without an id is nobody's reference, and gets a random one."""
+    return f"<urn:page:{page_id}:{digest}{f':{nth}' if nth > 1 else ''}>" if page_id is not None else f"<urn:page::{uuid.uuid4().hex}>"
+
+
+def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, nth: int = 1) -> bytes:
     """One WARC record; a revisit has the HTTP header only."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "about:blank")
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, digest, nth)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest}"]
     if refers_to is not None:
-        head += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {record_id(refers_to, digest)}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -62,11 +68,11 @@ def _write(folder: str):
             made.append(f"{folder}/{name}")
 
         for batch in batches:
-            for page_id, url, payload, digest, refers_to in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "digest", "refers_to")), strict=True):
+            for page_id, url, payload, digest, refers_to, nth in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "digest", "refers_to", "nth")), strict=True):
                 if out is None:
                     name, size = f"{uuid.uuid4().hex}.warc.gz", 0
                     out, packer = fs.open_output_stream(f"{base}/{name}", compression=None), zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
-                record = record_bytes(page_id.as_py(), url.as_py(), payload.as_py(), base64.b32encode(bytes.fromhex(digest.as_py())).decode(), refers_to.as_py())
+                record = record_bytes(page_id.as_py(), url.as_py(), payload.as_py(), base64.b32encode(bytes.fromhex(digest.as_py())).decode(), refers_to.as_py(), nth.as_py())
                 out.write(packer.compress(record))
                 size += len(record)
                 if size >= ARCHIVE_BYTES:
@@ -83,30 +89,35 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """Write a record per page into whole-stream gzip archives; returns their addresses (archive).
 
     Of records with equal payloads of at least ``min_bytes`` bytes the one with the smallest id
-    is a response and the others revisit it.
+    is a response and the others revisit it. No two records have the same id.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    ids = rows.where(F.length("payload") >= min_bytes).select("page_id", "digest")
-    first = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = ids.join(first, "digest").where("page_id <> refers_to").distinct()
+    ids = written(rows.where((F.length("payload") >= min_bytes) & F.col("page_id").isNotNull()).select("page_id", "digest"))
+    first = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    again = joined(ids, first, ["digest"]).drop("n").where("page_id <> refers_to").distinct()
+    rows = rows.join(again, ["page_id", "digest"], "left")
+    # rows alike in id and payload are told apart by a number; those without an id are spread
+    alike = Window.partitionBy("page_id", "digest", F.when(F.col("page_id").isNull(), F.xxhash64("url"))).orderBy("url")
     run, schema = _write(folder)
-    return written(rows.join(again, ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, schema))
+    return written(rows.withColumn("nth", F.row_number().over(alike)).select("page_id", "url", "payload", "digest", "refers_to", "nth").mapInArrow(run, schema))
 
 
 def inflated(stream, where: str) -> Iterator[bytes]:
-    """The bytes of a gzip file, one member or many, in chunks."""
+    """The bytes of a gzip file, one member or many, in chunks of at most CHUNK bytes however
+    well they are packed."""
     unpack = zlib.decompressobj(31)
     fed = False
     while data := stream.read(CHUNK):
         while data:
             fed = True
-            yield unpack.decompress(data)
-            data = unpack.unused_data
+            yield unpack.decompress(data, CHUNK)
+            data = unpack.unconsumed_tail
             if unpack.eof:
-                unpack, fed = zlib.decompressobj(31), False
-            else:
-                data = b""
+                data, unpack, fed = unpack.unused_data, zlib.decompressobj(31), False
+    while fed and (chunk := unpack.decompress(b"", CHUNK)):  # what a full chunk left inside
+        yield chunk
+        fed = not unpack.eof
     if fed:
         raise ValueError(f"{where} ends inside a gzip member")
 
@@ -175,7 +186,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def _page(headers: dict[str, str], key: str) -> int | None:
-    value = headers.get(key, "").removeprefix("<urn:page:").removesuffix(">")
+    value = headers.get(key, "").removeprefix("<urn:page:").partition(":")[0]
     return int(value) if value else None
 
 
@@ -223,9 +234,22 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Null html is an empty payload, a null url about:blank, control characters in a url are
     percent-encoded. A null id is always a response. Rows that repeat an id get a record each;
-    if the payloads are equal and the id is the smallest, both are responses. Other columns are
-    not looked at. An empty table gives an empty result.
+    if the payloads are equal and the id is the smallest, both are responses, under record ids
+    that end in a number. Other columns are not looked at. An empty table gives an empty result.
     """
     spark = pages.sparkSession
     archives = write_archives(pages, shared_folder(spark), id_col, url_col, html_col, min_bytes)
     return read_archives(normalise(archives, shared_folder(spark)))
+
+
+#: What ``round_trip`` returns on the table pages (min_bytes 0, no payload), in DuckDB's SQL; 20 bits are four digits of base32.
+ROUND_TRIP_SQL = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, coalesce(url, 'about:blank') AS url, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((CAST('0x' || substr(p.h, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f ON f.h = p.h
+"""
