@@ -6,9 +6,11 @@ of each: cell = (count, XOR of digests, XOR of their check hashes). Two sketches
 cell by cell, common paragraphs vanish, and peeling takes out the differing digests: a cell
 that holds one digest names it, and taking it out of its other cells uncovers more.
 
-If cells are left, the sketch was too small for the difference. Then both sets are sketched
-again in as many blocks as their sizes call for, and blocks that still fail are split in
-four, with other cell positions, until all are peeled. So the difference is always exact.
+The sketch of a whole text is its fingerprint. If cells are left when two of them are
+subtracted, it was too small for the difference. Then each version is sketched again, larger, in
+as many blocks of cells as the sizes of the sets call for; the two sketches are subtracted and
+peeled block by block. Blocks that still fail are split in four, with other cell positions,
+until all are peeled. So the recovered digests are always exactly those that differ.
 
 All of this is array expressions in the row of the pair; what moves between tasks is one
 copy of the texts (to stand beside their neighbours) and, per level, the blocks that failed.
@@ -66,18 +68,15 @@ def subtract(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (s, t) -> named_struct('n', s.n - t.n, 'k', s.k ^ t.k, 'h', s.h ^ t.h, 'b', s.b, 'v', s.v))"
 
 
-def sketch_of_difference(a: str, b: str, level: int) -> str:
-    """sketch(a) - sketch(b), the second set's digests taken out of the first one's cells directly."""
-    return f"transform({_EMPTY}, z -> {_added(b, _added(a, 'z', '+ 1', level), '- 1', level)})"
-
-
 def peel(cells: str, level: int = 0) -> str:
-    """SQL for struct(ok, more, less): whether all cells emptied, and how many digests only the first and only the second set has."""
+    """SQL for struct(ok, more, less): whether all cells emptied, and the digests that only the first and only the second set has."""
     pure = "array_distinct(transform(filter(st.cells, s -> abs(s.n) = 1 AND hash(s.k) = s.h), s -> named_struct('k', s.k, 'n', s.n)))"
     after = f"transform(st.cells, s -> aggregate(p, s, (t, q) -> if((shiftrightunsigned({_at('q.k', level)}, t.b) & 7) = t.v, {_changed('t', 'q.k', '- q.n')}, t)))"
+    of = lambda sign: f"transform(filter(p, q -> q.n = {sign}), q -> q.k)"
     step = f"""transform(array({pure}), p -> if(size(p) = 0, named_struct('cells', st.cells, 'more', st.more, 'less', st.less, 'go', false),
-        named_struct('cells', {after}, 'more', st.more + size(filter(p, q -> q.n = 1)), 'less', st.less + size(filter(p, q -> q.n = -1)), 'go', true)))[0]"""
-    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'more', 0, 'less', 0, 'go', true), (st, r) -> if(st.go, {step}, st),
+        named_struct('cells', {after}, 'more', concat(st.more, {of(1)}), 'less', concat(st.less, {of(-1)}), 'go', true)))[0]"""
+    none = "cast(array() AS array<bigint>)"
+    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'more', {none}, 'less', {none}, 'go', true), (st, r) -> if(st.go, {step}, st),
         st -> named_struct('ok', forall(st.cells, s -> s.n = 0 AND s.k = 0 AND s.h = 0), 'more', st.more, 'less', st.less))"""
 
 
@@ -95,16 +94,18 @@ def _split(keys: str, side: str, level: int) -> str:
 
 def differences(pairs: DataFrame) -> DataFrame:
     """(row, pair, more, less) of a table (row, pair, a, b) of digest arrays that one sketch could not
-    hold: as many blocks as the sizes call for, then four for each block that still fails, and so on."""
+    hold: as many blocks as the sizes call for, then four for each block that still fails, and so on.
+    A pair has a row for each of its parts that was peeled."""
     done: list[DataFrame] = []
     left, level = pairs, 1
     while level == 1 or not left.isEmpty():
         side = f"greatest(2, cast(ceil(sqrt((size(a) + size(b)) / {BLOCK_KEYS})) AS int))" if level == 1 else "2"
         blocks = left.withColumn("side", F.expr(side)).select("row", "pair", F.expr(_split("a", "side", level)).alias("as"), F.expr(_split("b", "side", level)).alias("bs"))
-        tried = blocks.withColumn("p", F.expr(f"transform(arrays_zip(as, bs), block -> {peel(sketch_of_difference('block.as', 'block.bs', level), level)})"))
-        sums = [F.expr(f"aggregate(p, 0, (n, r) -> n + if(r.ok, r.{c}, 0))").alias(c) for c in ("more", "less")]
+        difference = subtract(sketch("block.as", level), sketch("block.bs", level))
+        tried = blocks.withColumn("p", F.expr(f"transform(arrays_zip(as, bs), block -> {peel(difference, level)})"))
+        found = [F.expr(f"flatten(transform(filter(p, r -> r.ok), r -> r.{c}))").alias(c) for c in ("more", "less")]
         failed = F.expr("transform(filter(arrays_zip(as, bs, p), f -> NOT f.p.ok), f -> named_struct('a', f.as, 'b', f.bs))").alias("failed")
-        tried = written(tried.select("row", "pair", *sums, failed))
+        tried = written(tried.select("row", "pair", *found, failed))
         done.append(tried.select("row", "pair", "more", "less"))
         left = tried.select("row", "pair", F.explode("failed").alias("f")).select("row", "pair", "f.a", "f.b")
         level += 1
@@ -158,7 +159,8 @@ def beside_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
 
 def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, and only_text, only_edited, the paragraphs that one version has alone.
+    near_edited, near_next, and only_text, only_edited, the sorted digests of the paragraphs that
+    one version has alone.
 
     The edited text has the last floor(n_chars / 3) code points replaced by as many from the
     front of the next document (all if it has fewer), by descending id; after the last comes the
@@ -192,14 +194,20 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     )
     rows = written(rows)
     pairs = rows.select("row", "a", F.explode(F.array(F.struct(F.lit(0).alias("pair"), F.col("p0.ok").alias("ok"), F.col("e").alias("b")), F.struct(F.lit(1).alias("pair"), F.col("p1.ok").alias("ok"), "b"))).alias("q")).where("not q.ok")
-    found = differences(pairs.select("row", "q.pair", "a", "q.b")).groupBy("row").agg(*(F.sum(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}_{p}") for p in (0, 1) for c in ("more", "less")))
-    out = rows.drop("a", "e", "b").join(found, "row", "left")
-    for p in (0, 1):
-        for c in ("more", "less"):
-            out = out.withColumn(f"{c}_{p}", F.when(F.col(f"p{p}.ok"), F.col(f"p{p}.{c}")).otherwise(F.col(f"{c}_{p}")))
+    found = differences(pairs.select("row", "q.pair", "a", "q.b"))
+    # of the two versions the digests count, of the next document their number
+    part = lambda p, c: F.when(F.col("pair") == p, F.col(c))
+    found = found.groupBy("row").agg(
+        *(F.flatten(F.collect_list(part(0, c))).alias(f"{c}_0") for c in ("more", "less")),
+        *(F.sum(F.size(part(1, c))).cast("int").alias(f"{c}_1") for c in ("more", "less")),
+    )
+    first = [F.when(F.col("p0.ok"), F.col(f"p0.{c}")).alias(f"peeled_{c}_0") for c in ("more", "less")] + [F.when(F.col("p1.ok"), F.size(f"p1.{c}")).alias(f"peeled_{c}_1") for c in ("more", "less")]
+    out = rows.select("row", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "size", *first).join(found, "row", "left")
+    for c in ("more", "less"):
+        out = out.withColumn(f"only_{c}", F.array_sort(F.coalesce(f"peeled_{c}_0", f"{c}_0"))).withColumn(f"{c}_0", F.size(f"only_{c}")).withColumn(f"{c}_1", F.coalesce(f"peeled_{c}_1", f"{c}_1"))
 
     def likeness(p: int) -> Column:
         common, every = F.col("size") - F.col(f"more_{p}"), F.col("size") + F.col(f"less_{p}")
         return F.when(every == 0, 1.0).otherwise(common / F.when(every > 0, every))
 
-    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(0).alias("near_edited"), likeness(1).alias("near_next"), F.col("more_0").alias("only_text"), F.col("less_0").alias("only_edited"))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(0).alias("near_edited"), likeness(1).alias("near_next"), F.col("only_more").alias("only_text"), F.col("only_less").alias("only_edited"))
