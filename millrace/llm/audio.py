@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import joined, written
 
 RATE = 8_000
 FRAME, HOP = 1024, 128
@@ -116,10 +116,13 @@ def _landmarks(classes: DataFrame) -> DataFrame:
 
 
 def classed(prints: DataFrame) -> DataFrame:
-    """``prints`` with class_id, the smallest id with the same fingerprint; null where there are no integers or no id."""
-    prints = prints.withColumn("digest", F.when((F.size("fingerprint") > 0) & F.col("id").isNotNull(), F.md5(F.to_json("fingerprint"))))
-    names = prints.where("digest is not null").groupBy("digest").agg(F.min("id").alias("class_id"))
-    return prints.join(names, "digest", "left").drop("digest")
+    """``prints`` with class_id, the smallest id with the same fingerprint; null where there are no
+    integers or no id. The recordings are decoded once: what is made of them is a table."""
+    prints = written(prints.withColumn("digest", F.when((F.size("fingerprint") > 0) & F.col("id").isNotNull(), F.md5(F.to_json("fingerprint")))))
+    named = prints.where("digest is not null")
+    names = named.groupBy("digest").agg(F.min("id").alias("class_id"), F.count("*").alias("n"))
+    none = prints.where("digest is null").select("id", "fingerprint", F.lit(None).cast("long").alias("class_id"))
+    return joined(named, names, ["digest"]).select("id", "fingerprint", "class_id").union(none)
 
 
 def align(clips: DataFrame, recordings: DataFrame) -> DataFrame:
