@@ -33,11 +33,8 @@ from .shared import two_columns, written
 
 #: Labelled rows that the classifier is fitted on at most; the ones with the smallest id hash.
 MAX_LABELLED = 20_000
-#: Features in the lexicon at most, the most significant first, and words excepted from its prefixes.
-MAX_FEATURES = 50_000
 #: Nats of log-odds per score unit; every token outside the lexicon costs one unit.
 UNIT = 0.03
-MAX_SCORE = 400
 PREFIXES = (3, 4, 5, 6, 7, 8)
 #: Pseudo-tokens of the Dirichlet prior, as a share of the sample's tokens.
 PRIOR = 0.02
@@ -138,7 +135,7 @@ def _tag(model: ToxicityModel):
 
 def _statistics(tagged: DataFrame) -> tuple[float, float]:
     """lambda and K from the scores of all tokens. As -1 is the only negative score, K has a closed form."""
-    rows = tagged.select(F.explode("scores").alias("s")).groupBy("s").count().collect()  # at most MAX_SCORE rows
+    rows = tagged.select(F.explode("scores").alias("s")).groupBy("s").count().collect()  # as many rows as the lexicon has scores
     n = tagged.agg(F.sum("n_tokens")).first()[0] or 0
     hist = {r["s"]: r["count"] for r in rows}
     other = n - sum(hist.values())
@@ -200,7 +197,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lexicon(words: DataFrame) -> ToxicityModel:
-    """Significant features from (word, toxic, n) counts of the bounded sample."""
+    """All significant features from (word, toxic, n) counts of the bounded sample, whose words bound what is collected."""
     cells = words.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
     sums = cells.agg(F.sum("t"), F.sum("c")).first()
     nt, nc = float(sums[0] or 0), float(sums[1] or 0)
@@ -215,17 +212,17 @@ def _lexicon(words: DataFrame) -> ToxicityModel:
         df = df.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / ft + 1 / fc))
         return df.where((F.col("z") >= z) & (F.col("t") >= 3) & (F.col("odds") >= MIN_ODDS))
 
-    top = significant(cells, MIN_Z).orderBy(F.desc("z"), "word").limit(MAX_FEATURES).select("word", "odds").collect()
-    unit = lambda x: max(1, min(MAX_SCORE, round(x / UNIT)))
+    top = significant(cells, MIN_Z).select("word", "odds").collect()
+    unit = lambda x: max(1, round(x / UNIT))
     known = {r["word"]: unit(r["odds"]) for r in top}
     stems = cells.select(F.explode(F.expr("transform(filter(array(%s), k -> length(word) > k), k -> substring(word, 1, k))" % ",".join(map(str, PREFIXES)))).alias("word"), "t", "c")
     stems = stems.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count("*").alias("kinds")).where("kinds >= 3")
-    top = significant(stems, MIN_Z_PREFIX).orderBy(F.desc("z"), "word").limit(MAX_FEATURES).select("word", "odds").collect()
+    top = significant(stems, MIN_Z_PREFIX).select("word", "odds").collect()
     prefixes = {r["word"]: unit(r["odds"]) for r in top}
     if prefixes:  # words with evidence of their own against them don't fall back to a prefix
         frame = words.sparkSession.createDataFrame([(p,) for p in prefixes], "stem string")
         hard = cells.where((F.col("c") >= 3) & (odds < MIN_ODDS)).select("word", F.explode(F.expr("transform(array(%s), k -> substring(word, 1, k))" % ",".join(map(str, PREFIXES)))).alias("stem"))
-        rows = hard.join(F.broadcast(frame), "stem").groupBy("word").count().orderBy("word").limit(MAX_FEATURES).collect()
+        rows = hard.join(F.broadcast(frame), "stem").select("word").distinct().collect()
         known |= {r["word"]: -1 for r in rows if r["word"] not in known}
     return ToxicityModel(known, prefixes)
 
