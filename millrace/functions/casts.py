@@ -69,10 +69,14 @@ def json_text(text: Column) -> Column:
     return F.when(parses("[", "]") & parses('{"x":', "}"), text)
 
 
-def cast(raw: Column, field: Field, trim: bool = True) -> tuple[Column, Column]:
-    """(text, value) of a raw column. ``trim=False`` leaves text fields as they are, as JSON sources need it."""
-    text = clean(raw) if trim or field.type not in ("string", "json") else raw
-    value = {
+def cast_text(raw: Column, field: Field, trim: bool = True) -> Column:
+    """The text that is cast. ``trim=False`` leaves text fields as they are, as JSON sources need it."""
+    return clean(raw) if trim or field.type not in ("string", "json") else raw
+
+
+def cast_value(text: Column, field: Field) -> Column:
+    """The value of a field's text."""
+    return {
         "int64": lambda: int64(text),
         "float64": lambda: float64(text),
         "bool": lambda: boolean(text),
@@ -82,4 +86,9 @@ def cast(raw: Column, field: Field, trim: bool = True) -> tuple[Column, Column]:
         "date": lambda: date(text),
         "json": lambda: json_text(text),
     }.get(field.type, lambda: text)()
-    return text, value
+
+
+def cast(raw: Column, field: Field, trim: bool = True) -> tuple[Column, Column]:
+    """(text, value) of a raw column."""
+    text = cast_text(raw, field, trim)
+    return text, cast_value(text, field)

@@ -1,7 +1,7 @@
 """Cast, check and split rows in one pass: valid rows, dead letters and audit events.
 
-Typed values are projected first and errors are built from them in a second projection, so
-no cast is evaluated twice. The frame with both is the single source of all three outputs:
+Trimmed texts are projected first, typed values from them in a second projection and errors in
+a third, so no text is trimmed and no cast is evaluated twice. The frame with both is the single source of all three outputs:
 persist it (``Validated.persist``) before more than one of them is written.
 """
 
@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import cast
+from ..functions.casts import cast_text, cast_value
 from ..functions.privacy import REDACTED, is_sensitive, redact_payload
 from ..schema import Schema
 
@@ -140,14 +140,13 @@ def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitiv
     extra = [source.alias("_source_file"), where.alias("_origin"), ingested.alias("_ingested_at"), F.lit(run.job_id).alias("_job_id"), F.lit(run.execution_id).alias("_execution_id")]
     have = {c.lower() for c in df.columns}
     raw = {f.name: (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast("string") for f in schema.fields}
-    pairs = {f.name: cast(raw[f.name], f, trim) for f in schema.fields}
-    typed = df.select(
-        # plain columns: the optimizer would put a struct's fields back in wherever they are used
+    # plain columns: the optimizer would put a struct's fields back in wherever they are used
+    texts = df.select(
         *(raw[n].alias(f"_r_{i}") for i, n in enumerate(names)),
-        *(pairs[n][0].alias(f"_t_{i}") for i, n in enumerate(names)),
-        *(pairs[n][1].alias(f"_v_{i}") for i, n in enumerate(names)),
+        *(cast_text(raw[f.name], f, trim).alias(f"_t_{i}") for i, f in enumerate(schema.fields)),
         *extra,
     )
+    typed = texts.select("*", *(cast_value(F.col(f"_t_{i}"), f).alias(f"_v_{i}") for i, f in enumerate(schema.fields)))
     failures = []  # (condition, column, rule, cause, type, value)
     for i, f in enumerate(schema.fields):
         t, v = F.col(f"_t_{i}"), F.col(f"_v_{i}")
@@ -163,7 +162,8 @@ def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitiv
             kind = next(f.type for f in schema.fields if f.name == r.column)
             failures.append((F.col(f"_broken_{i}"), r.column, r.type, r.message, kind, F.col(f"_t_{names.index(r.column)}")))
     which = F.coalesce(*(F.when(cond, F.lit(i)) for i, (cond, *_) in enumerate(failures))) if failures else F.lit(None).cast("int")
-    tagged = tagged.withColumn("_failure", which)
+    # the partition number changes nothing, but keeps a filter on the index from being copied with all casts below them
+    tagged = tagged.withColumn("_failure", F.when(F.spark_partition_id() >= 0, which))
 
     def pick(value) -> Column:
         out = F.lit(None).cast("string")

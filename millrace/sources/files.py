@@ -6,13 +6,16 @@ Globs, path lists, splits and codecs (by extension: gzip, bzip2, zstandard) are
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import clean
+from ..functions.casts import BLANK, clean
 from ..schema import Schema
 
 #: The first bytes of the framed snappy format, which Spark's readers cannot take (fixed value).
@@ -36,38 +39,91 @@ def _charset(name: str) -> str:
         raise ValueError(f"charset {name!r} is not one of {sorted(CHARSETS)}") from None
 
 
+class _Heads:
+    """The beginnings of files, through the store's own file system and codecs: a few bytes of each."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.codecs = self.jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self.conf)
+
+    def _path(self, uri: str):
+        return self.jvm.org.apache.hadoop.fs.Path(self.jvm.java.net.URI(uri))
+
+    def first_bytes(self, uri: str, n: int) -> bytes:
+        path = self._path(uri)
+        stream = path.getFileSystem(self.conf).open(path)
+        try:
+            return bytes(stream.readNBytes(n))
+        finally:
+            stream.close()
+
+    def first_line(self, uri: str, charset: str) -> str | None:
+        """The first line that is not blank; None: there is none."""
+        path = self._path(uri)
+        stream = path.getFileSystem(self.conf).open(path)
+        try:
+            codec = self.codecs.getCodec(path)
+            reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, charset))
+            while (line := reader.readLine()) is not None:
+                if line.strip("\ufeff" + BLANK):
+                    return line.removeprefix("\ufeff")
+            return None
+        finally:
+            stream.close()
+
+
+def _each(files: Sequence[str], f) -> list:
+    """``f`` of every file, many at once: they wait for the store."""
+    with ThreadPoolExecutor(32) as pool:
+        return list(pool.map(f, files))
+
+
 def refuse_framed_snappy(spark: SparkSession, paths: Sequence[str]) -> None:
     """Raise before a task would run out of memory on a framed snappy file."""
     named = [p for p in paths if p.lower().endswith((".sz", ".snappy"))]
     if named:
-        found = spark.read.format("binaryFile").load(named).where(F.substring("content", 1, len(SNAPPY_MAGIC)) == F.lit(SNAPPY_MAGIC)).select("path").first()
-        if found:
-            raise ValueError(f"{found.path} is framed snappy, which cannot be read; use gzip, bzip2 or zstandard")
+        files = spark.read.text(named).inputFiles()
+        for file, head in zip(files, _each(files, lambda f: _Heads(spark).first_bytes(f, len(SNAPPY_MAGIC))), strict=True):
+            if head == SNAPPY_MAGIC:
+                raise ValueError(f"{file} is framed snappy, which cannot be read; use gzip, bzip2 or zstandard")
+
+
+def files_with_header(spark: SparkSession, paths: Sequence[str], name: str, sep: str, charset: str) -> tuple[list[str], list[str]]:
+    """(with, without): the files below ``paths`` whose first row begins with the cell ``name``, in any
+    case, and the others. Files without a row are in neither. Only the first line of a file is read."""
+    files = spark.read.text(list(paths)).inputFiles()
+    heads = _Heads(spark)
+    first = lambda line: next(csv.reader([line], delimiter=sep), [""])[:1] or [""]
+    found: tuple[list[str], list[str]] = ([], [])
+    for file, line in zip(files, _each(files, lambda f: heads.first_line(f, charset)), strict=True):
+        if line is not None:
+            found[first(line)[0].strip(BLANK).lower() != name.lower()].append(heads._path(file).toString())
+    return found
 
 
 def read_delimited(spark: SparkSession, paths: Sequence[str], schema: Schema, sep: str = ",", header: str = "auto", charset: str = "utf-8", multiline: bool = False) -> DataFrame:
     """CSV, TSV and the like: the schema's columns by position, trimmed, empty ones NULL, and _source_file.
 
     Short rows are padded with NULL, extra cells and blank lines dropped, stray quotes kept.
-    ``header``: "true", "false", or "auto", which drops a row of a file's first block whose first
-    cell is the first field's name, in any case. ``multiline`` lets quoted cells hold line ends
-    and makes a file one task. "true" takes the same rows as "auto" and raises if a file has none.
+    ``header``: "true", "false", or "auto", which leaves out the first row of a file if its first
+    cell is the first field's name, in any case; a later row like that is data. "true" raises if
+    a file has no such row. ``multiline`` lets quoted cells hold line ends and makes a file one task.
     """
     if header not in ("auto", "true", "false"):
         raise ValueError(f"header is {header!r}, not auto, true or false")
     refuse_framed_snappy(spark, paths)
-    reader = spark.read.schema(schema.raw()).option("sep", sep).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").option("header", False).option("ignoreLeadingWhiteSpace", True).option("encoding", _charset(charset)).option("multiLine", multiline)
+    reader = spark.read.schema(schema.raw()).option("sep", sep).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", True).option("encoding", _charset(charset)).option("multiLine", multiline)
     if not multiline:
         reader = reader.option("lineSep", "\n")  # wide charsets need it
-    df = reader.csv(list(paths)).select("*", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_block_start").alias("_at"))
-    first = schema.fields[0].name
-    is_header = (F.col("_at") == 0) & (F.lower(F.coalesce(clean(F.col(f"`{first}`")), F.lit(""))) == first.lower())
-    if header == "true" and (without := df.groupBy("_source_file").agg(F.max(is_header).alias("h")).where("NOT h").first()):
-        raise ValueError(f"{without['_source_file']} has no header")
+    parts = [(list(paths), False)]
     if header != "false":
-        df = df.where(~is_header)
+        headed, plain = files_with_header(spark, paths, schema.fields[0].name, sep, _charset(charset))
+        if header == "true" and plain:
+            raise ValueError(f"{plain[0]} has no header")
+        # one scan where all files agree
+        parts = [(headed, True), (plain, False)] if headed and plain else [(list(paths), bool(headed))]
     cells = [clean(F.col(f"`{n}`")).alias(n) for n in schema.names]
-    return df.select(*cells, "_source_file")
+    return reduce(DataFrame.union, [reader.option("header", h).csv(p).select(*cells, F.col("_metadata.file_path").alias("_source_file")) for p, h in parts])
 
 
 def read_json(spark: SparkSession, paths: Sequence[str], schema: Schema, array: bool = False, on_malformed: str = "fail", charset: str = "utf-8") -> DataFrame:

@@ -5,28 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.casts import clean
 from ..operators.validate import Rule, Run, validate
 from ..schema import Schema
+from ..sources.files import read_delimited, read_json
 
 
-def ingest_new_files(spark: SparkSession, folder: str, schema: Schema, out: str, checkpoint: str, fmt: str = "csv", rules: Sequence[Rule] = (), sensitive: Sequence[str] = (), sep: str = ",") -> StreamingQuery:
+def ingest_new_files(spark: SparkSession, folder: str, schema: Schema, out: str, checkpoint: str, fmt: str = "csv", rules: Sequence[Rule] = (), sensitive: Sequence[str] = (), sep: str = ",", header: str = "auto") -> StreamingQuery:
     """Start a run over the files that no run has seen; it ends by itself.
 
-    A batch overwrites its own folders (batch=<id>), so a batch that is replayed after a
-    failure publishes the same files again instead of more. Read them with ``published_rows``.
+    The stream is one of file names; a batch reads its files as the batch sources do, so that
+    only the first row of a file can be a header. A batch overwrites its own folders (batch=<id>),
+    so a batch that is replayed after a failure publishes the same files again instead of more.
+    Read them with ``published_rows``.
     """
-    reader = spark.readStream.schema(schema.raw())
-    stream = (reader.option("sep", sep).option("escape", '"').csv(folder) if fmt == "csv" else reader.json(folder)).select("*", F.col("_metadata.file_path").alias("_source_file"))
-    first = schema.fields[0].name
-    if fmt == "csv":
-        stream = stream.where(F.lower(F.coalesce(clean(F.col(f"`{first}`")), F.lit(""))) != first.lower())
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(folder).select("path")
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(batch, schema, rules, sensitive, Run(execution_id=str(batch_id)), trim=fmt == "csv").persist()
+        paths = sorted(r["path"] for r in batch.collect())  # the files of a batch, by name
+        if not paths:
+            return
+        rows = read_delimited(spark, paths, schema, sep, header) if fmt == "csv" else read_json(spark, paths, schema, on_malformed="quarantine").drop("_corrupt_record")
+        checked = validate(rows, schema, rules, sensitive, Run(execution_id=str(batch_id)), trim=fmt == "csv").persist()
         try:
             checked.valid.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
             checked.dlq.write.mode("overwrite").json(f"{out}/dead_letters/batch={batch_id}")
@@ -34,7 +35,7 @@ def ingest_new_files(spark: SparkSession, folder: str, schema: Schema, out: str,
         finally:
             checked.unpersist()
 
-    return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return names.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def published_rows(spark: SparkSession, out: str) -> DataFrame:

@@ -50,3 +50,12 @@ def test_exact_buckets_have_no_window_over_all_rows(table):
     text = plan(slices.exact_buckets(table, "id", 100))
     for window in re.findall(r"Window \[.*", text):
         assert "part" in window or "rows" in window
+
+
+def test_each_text_is_trimmed_and_cast_once(table):
+    schema = Schema.of(Field("a", "int64"), Field("b", "decimal", scale=2), Field("c", "timestamp", False), Field("d", "bool"))
+    raw = table.select("a", *(table.a.alias(c) for c in "bcd"))
+    v = validate(raw, schema)
+    for df in (v.valid, v.dlq, v.tagged.groupBy("_origin").count()):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("trim(") <= 4 and text.lower().count("decimal(18,2)") <= 2, text
