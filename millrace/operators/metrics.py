@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Bytes of a file that are hashed at once.
+CHUNK = 8 << 20
+
 
 def origin_metrics(tagged: DataFrame) -> DataFrame:
     """(origin, total_read, valid, dlq): a hash aggregate that combines before the shuffle."""
@@ -65,15 +71,31 @@ def invalid_counts(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     return tagged.agg(F.array(*counts).alias("m")).select(F.inline("m"))
 
 
-def output_stats(spark, path: str, fmt: str = "parquet") -> dict:
+def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of files, read in chunks."""
+    for frame in frames:
+        out = []
+        for path in frame["path"]:
+            fs, name = pafs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+            digest = hashlib.sha256()
+            with fs.open_input_stream(name, compression=None) as stream:
+                while chunk := stream.read(CHUNK):
+                    digest.update(chunk)
+            out.append(digest.hexdigest())
+        yield pd.DataFrame({"length": frame["length"], "digest": out})
+
+
+def output_stats(spark, path: str, fmt: str = "parquet", rows: int | None = None) -> dict:
     """Rows, bytes, files and one digest of a published folder, from what is really there.
 
     The digest is the SHA-256 of the files' own ones in their order, so it does not depend on
-    names that a run makes up.
+    names that a run makes up. Files are hashed in tasks, a chunk at a time. ``rows``: their
+    number where it is known and counting the files would not tell it.
     """
-    rows = spark.read.format(fmt).load(path).count()
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(~F.col("path").rlike(r"/[._][^/]*$"))
-    each = files.select("length", F.sha2("content", 256).alias("digest"))
+    if rows is None:
+        rows = spark.read.format(fmt).load(path).count()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(~F.col("path").rlike(r"/[._][^/]*$")).select("path", "length")
+    each = files.repartition("path").mapInPandas(_digests, "length long, digest string")
     got = each.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ""), 256).alias("checksum")).first()
     return {"rows": rows, "files": got["files"], "bytes": got["bytes"], "checksum": got["checksum"]}
 

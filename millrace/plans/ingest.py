@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.incremental import Mark, next_mark, next_offset
-from ..operators.metrics import origin_metrics, output_stats, throughput
+from ..operators.metrics import move_rejects, origin_metrics, output_stats, throughput
 from ..operators.quality import GateError, Gates, duplicates
 from ..operators.validate import Rule, Run, validate
 from ..schema import Schema
-from ..sinks.files import with_lineage, write_audit, write_parquet, write_quarantine, write_run_file
+from ..sinks.files import with_lineage, write_audit, write_delimited, write_json_lines, write_parquet, write_quarantine, write_run_file
+from ..sinks.rest import post_rows
+from ..sinks.table import write_table
+from ..workspace import move, remove
 
 
 @dataclass
@@ -30,44 +34,96 @@ class Report:
     custom: dict[str, object] = field(default_factory=dict)
 
 
-def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule] = (), gates: Gates = Gates(), unique: Sequence[str] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", mark: Mark | None = None, offset: int | None = None, trim: bool = True, compression: str = "snappy", single_file: bool = False, custom: Mapping[str, Column] | None = None) -> Report:
+@dataclass(frozen=True)
+class Sink:
+    """Where valid rows go: "parquet", "csv" or "json" files below the run's folder, a "table" of the
+    catalog, or batches posted to a "rest" API. ``options`` are the arguments of the sink's writer."""
+
+    kind: str = "parquet"
+    options: Mapping[str, object] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        if self.kind not in ("parquet", "csv", "json", "table", "rest"):
+            raise ValueError(f"sink is {self.kind!r}, not parquet, csv, json, table or rest")
+
+
+def _write_files(data: DataFrame, path: str, sink: Sink) -> dict:
+    """Write the files of a file sink and look at what is there."""
+    seen = Observation()
+    data = data.observe(seen, F.count(F.lit(1)).alias("rows"))
+    {"parquet": write_parquet, "csv": write_delimited, "json": write_json_lines}[sink.kind](data, path, **sink.options)
+    return output_stats(data.sparkSession, path, rows=None if sink.kind == "parquet" else seen.get["rows"])
+
+
+def _refused(posted: DataFrame, run: Run) -> DataFrame:
+    """Rows that a sink refused, as dead letters."""
+    return posted.where("NOT accepted").select("raw_payload", "error_message", F.lit(None).cast("string").alias("failed_column"), F.col("origin").alias("_source_file"), run.timestamp().alias("_failed_at"), F.col("origin").alias("_origin"))
+
+
+def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule] = (), gates: Gates = Gates(), unique: Sequence[str] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", mark: Mark | None = None, offset: int | None = None, trim: bool = True, compression: str = "snappy", single_file: bool = False, custom: Mapping[str, Column] | None = None, sink: Sink | None = None) -> Report:
     """Validate ``source`` and publish it below ``out``: data/, quarantine/dead_letters, quarantine/audit, metrics/.
 
-    One tagged frame, persisted, feeds all outputs. Totals are counted on the source and compared
-    with the rows that were published and quarantined; a gate that does not hold leaves an error
-    file and raises, after the quarantine is written and before the data are. ``custom`` has
-    aggregates over the valid rows, by the names under which they are reported.
+    One tagged frame, persisted, feeds all outputs. The source's rows are counted in the scan that
+    feeds it, before validation. Files are written aside, counted, and renamed to data/ only if
+    every row read was either written or quarantined. A gate that does not hold leaves an error
+    file and raises, with the quarantine written and no data. Rows that a REST sink refuses become
+    dead letters and count as such. ``custom`` has aggregates over the valid rows, by the names
+    under which they are reported. ``sink``: Parquet files by default.
     """
     began, run = time.monotonic(), run or Run()
-    spark = source.sparkSession
-    checked = validate(source, schema, rules, sensitive, run, schema_id, trim).persist()
+    sink = sink or Sink("parquet", {"compression": compression, "single_file": single_file})
+    spark, seen = source.sparkSession, Observation()
+    checked = validate(source.observe(seen, F.count(F.lit(1)).alias("rows")), schema, rules, sensitive, run, schema_id, trim).persist()
+
+    def stop(reasons: list[str]) -> None:
+        if reasons:
+            write_run_file(spark, f"{out}/metrics/error", {"error": "; ".join(reasons)})
+            raise GateError("; ".join(reasons))
+
     try:
         counts = checked.tagged.agg(F.count("*").alias("total"), F.count_if(F.col("_failure").isNotNull()).alias("dlq"), *(F.count_if(F.col(f"_v_{i}").isNull() & F.col("_failure").isNull()).alias(f"n{i}") for i, n in enumerate(schema.names)), *(F.count_if(F.col("_failed_column") == n).alias(f"i{i}") for i, n in enumerate(schema.names))).first()
-        total, dlq = counts["total"], counts["dlq"]
+        total, dlq, read = counts["total"], counts["dlq"], seen.get["rows"]
         write_quarantine(checked.dlq, f"{out}/quarantine")
         write_audit(checked.audit, f"{out}/quarantine")
-        read = source.count()
         reasons = gates.broken(read, total - dlq, dlq)
+        if read != total:
+            reasons.append(f"{read} rows were read and {total} validated")
         reasons += [f"rule {r.rule} on {r.column_name} is broken by {r.n} rows" for r in checked.broken("fail").collect()]
         reasons += [f"column {c} repeats values" for c in unique if not duplicates(checked.valid, [c]).isEmpty()]
-        if reasons:
-            write_run_file(spark, f"{out}/metrics/error", {"error": "; ".join(reasons)})
-            raise GateError("; ".join(reasons))
-        data = with_lineage(checked.valid).drop("_origin")
-        write_parquet(data, f"{out}/data", compression, single_file)
-        origins = {r["origin"]: {"total_read": r["total_read"], "valid": r["valid"], "dlq": r["dlq"]} for r in origin_metrics(checked.tagged).collect()}
-        stats = output_stats(spark, f"{out}/data")
+        stop(reasons)
+        data = with_lineage(checked.valid)
+        origins = origin_metrics(checked.tagged)
+        written = data.drop("_origin")
+        if sink.kind == "rest":
+            posted = post_rows(data.select(*schema.names, "_origin"), **sink.options)
+            refused = posted.where("NOT accepted").groupBy("origin").agg(F.count("*").alias("n"))
+            origins = move_rejects(origins, refused)
+            write_quarantine(_refused(posted, run), f"{out}/quarantine", "append")
+            stats = {"rows": posted.where("accepted").count(), "files": 0, "bytes": 0}
+            dlq = total - stats["rows"]
+            stop(gates.broken(read, stats["rows"], dlq))
+        elif sink.kind == "table":
+            wrote = Observation()
+            write_table(written.observe(wrote, F.count(F.lit(1)).alias("rows")), **sink.options)
+            stats = {"rows": wrote.get["rows"], "files": 0, "bytes": 0}
+        else:
+            aside = f"{out}/_aside/{uuid.uuid4().hex}"
+            stats = _write_files(written, aside, sink)
         if read != stats["rows"] + dlq:
-            raise GateError(f"{read} rows were read, {stats['rows']} published and {dlq} quarantined")
+            stop([f"{read} rows were read, {stats['rows']} written and {dlq} quarantined"])
+        if sink.kind in ("parquet", "csv", "json"):
+            move(spark, aside, f"{out}/data")
+            remove(spark, f"{out}/_aside")
+        by_origin = {r["origin"]: {"total_read": r["total_read"], "valid": r["valid"], "dlq": r["dlq"]} for r in origins.collect()}
         if mark is not None:
-            watermark = next_mark(spark.read.parquet(f"{out}/data"), mark).text
+            watermark = next_mark(checked.valid, mark).text
         else:
             watermark = None if offset is None else str(next_offset(offset, read))
         nulls = {f"null_count_{n}": counts[f"n{i}"] for i, n in enumerate(schema.names)}
         invalid = {f"invalid_value_count_{n}": counts[f"i{i}"] for i, n in enumerate(schema.names)}
         own = checked.valid.agg(*(c.alias(n) for n, c in custom.items())).first().asDict() if custom else {}
-        report = Report(read, stats["rows"], dlq, origins, stats | throughput(read, stats["bytes"], time.monotonic() - began), watermark, nulls, invalid, own)
-        write_run_file(spark, f"{out}/metrics/run", {"pipeline_id": run.pipeline_id, "run_id": run.execution_id, "total_records_read": read, "rows_written": stats["rows"], "dead_letter_count": dlq, "origin_metrics": origins, "watermark": watermark, **stats, **nulls, **invalid, "custom": own})
+        report = Report(read, stats["rows"], dlq, by_origin, stats | throughput(read, stats["bytes"], time.monotonic() - began), watermark, nulls, invalid, own)
+        write_run_file(spark, f"{out}/metrics/run", {"pipeline_id": run.pipeline_id, "run_id": run.execution_id, "total_records_read": read, "rows_written": stats["rows"], "dead_letter_count": dlq, "origin_metrics": by_origin, "watermark": watermark, **stats, **nulls, **invalid, "custom": own})
         return report
     finally:
         checked.unpersist()

@@ -49,13 +49,14 @@ def write_json_lines(df: DataFrame, path: str, compression: str = "none", single
     _parts(plain, single_file).write.mode(mode).option("ignoreNullFields", False).option("compression", _codec("json", compression)).json(path)
 
 
-def write_quarantine(dlq: DataFrame, path: str) -> None:
-    write_json_lines(dlq, f"{path}/dead_letters", mode="append")
+def write_quarantine(dlq: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A run that is started again after an error replaces what it left."""
+    write_json_lines(dlq, f"{path}/dead_letters", mode=mode)
 
 
-def write_audit(audit: DataFrame, path: str) -> None:
+def write_audit(audit: DataFrame, path: str, mode: str = "overwrite") -> None:
     """In a folder of its own beside the dead letters."""
-    write_json_lines(audit, f"{path}/audit", mode="append")
+    write_json_lines(audit, f"{path}/audit", mode=mode)
 
 
 def write_run_file(spark: SparkSession, path: str, content: dict) -> None:

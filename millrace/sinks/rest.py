@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.render import json_row
+from ..workspace import shared_folder
 
 METHODS = ("POST", "PUT", "PATCH")
 
@@ -22,7 +23,8 @@ def post_rows(df: DataFrame, url: str, batch_size: int = 100, envelope: str = ""
 
     A batch is an array, or an object that holds it under ``envelope``; with a batch size of 1
     and no envelope, a bare object. HTTP 400 and above, or no answer, rejects the whole batch.
-    A task that runs again posts again: the Idempotency-Key header is the digest of the body.
+    The rows are posted once, at once, and the result is a table in the shared folder. A task that
+    runs again posts again: the Idempotency-Key header is the digest of the body.
     """
     if method not in METHODS:
         raise ValueError(f"method is {method!r}, not one of {METHODS}")
@@ -62,4 +64,7 @@ def post_rows(df: DataFrame, url: str, batch_size: int = 100, envelope: str = ""
 
     source = F.col(origin) if origin in df.columns else F.lit("default")
     body = df.drop(origin) if origin in df.columns else df
-    return df.select(source.alias("origin"), json_row(body).alias("item")).mapInPandas(run, "origin string, accepted boolean, raw_payload string, error_message string")
+    path, spark = shared_folder(df.sparkSession), df.sparkSession
+    answers = df.select(source.alias("origin"), json_row(body).alias("item")).mapInPandas(run, "origin string, accepted boolean, raw_payload string, error_message string")
+    answers.write.parquet(path)
+    return spark.read.schema(answers.schema).parquet(path)

@@ -1,13 +1,15 @@
 """Paged HTTP APIs as a Python data source: ``spark.read.format("rest_pages").schema(...).options(...).load()``.
 
 Numbered and offset pages are planned on the driver (from a hint, or a total that one probe
-reads) and read in one task each; cursors and links are followed inside one task.
+reads) and read in ``tasks`` runs of pages (default 8) at once, which share the rate limit; cursors
+and links are followed inside one task. A column _api_calls gets the requests that a page took, on
+the page's first row, and 0 on the others.
 
 Options: base_url, endpoint, pagination (page_number, offset_limit, cursor_token, link_header),
 page_param, size_param, page_size, initial_page, total_pages_hint, total_count_path, start_offset,
 cursor_param, next_cursor_path, has_more_path, max_pages_limit, records_path, field.<column> (path in
 an item), param.<name>, header.<name>, mark_param and mark_value, auth (bearer, api_key, basic), token,
-api_key_name, api_key_in (header, query), username, password, rate_limit_rps, max_retries, timeout_s.
+api_key_name, api_key_in (header, query), username, password, rate_limit_rps, max_retries, timeout_s, tasks.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ TRANSIENT = {429, 500, 502, 503, 504}
 class Page(InputPartition):
     index: int
     follow: bool = False
+    pages: int = 1
+    step: int = 1
 
     def __post_init__(self) -> None:
         super().__init__(self.index)
@@ -72,6 +76,7 @@ class Client:
 
     def __init__(self, o: dict[str, str], share: int = 1):
         self.o, self.gap, self.at = o, share / float(o["rate_limit_rps"]) if o.get("rate_limit_rps") else 0.0, 0.0
+        self.calls = 0
         self.headers = {k[7:]: v for k, v in o.items() if k.startswith("header.")}
         auth = o.get("auth", "")
         if auth == "bearer":
@@ -89,6 +94,7 @@ class Client:
             if (wait := self.at + self.gap - time.monotonic()) > 0:
                 time.sleep(wait)
             self.at = time.monotonic()
+            self.calls += 1
             try:
                 with urllib.request.urlopen(urllib.request.Request(url, headers=self.headers), timeout=float(self.o.get("timeout_s", 30))) as r:
                     return parse(r.read()), {k.lower(): v for k, v in r.headers.items()}
@@ -146,26 +152,29 @@ class RestReader(DataSourceReader):
             left = int(total or 0) - (0 if number else first)
             pages = max(1, -(-left // self.size))
         pages = min(pages or 1, limit or pages or 1)
-        self.share = pages
-        return [Page(first + i * step) for i in range(pages)]
+        self.share = min(pages, int(o.get("tasks", 8)))
+        cuts = [pages * i // self.share for i in range(self.share + 1)]
+        return [Page(first + a * step, False, b - a, step) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def rows(self, body: object) -> Iterator[tuple]:
+    def rows(self, body: object, client: Client) -> Iterator[tuple]:
         items = dig(body, self.o.get("records_path", ""))
         if not isinstance(items, list):
             raise ValueError(f"no array at {self.o.get('records_path') or 'the root'} of the response")
         for item in items:
             if isinstance(item, dict):
-                yield tuple(as_text(dig(item, self.o.get(f"field.{n.lower()}", n))) for n in self.names)
+                yield tuple(str(client.calls) if n == "_api_calls" else as_text(dig(item, self.o.get(f"field.{n.lower()}", n))) for n in self.names)
+                client.calls = 0
 
     def read(self, partition: Page) -> Iterator[tuple]:
         client, o = Client(self.o, self.share), self.o
         if not partition.follow:
-            yield from self.rows(client.get(self.url(partition.index))[0])
+            for i in range(partition.pages):
+                yield from self.rows(client.get(self.url(partition.index + i * partition.step))[0], client)
             return
         url, seen = self.url(0), 0
         while url:
             body, headers = client.get(url)
-            yield from self.rows(body)
+            yield from self.rows(body, client)
             seen += 1
             if seen >= int(o.get("max_pages_limit", 0) or 1 << 62):
                 return
