@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -71,12 +72,18 @@ def invalid_counts(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     return tagged.agg(F.array(*counts).alias("m")).select(F.inline("m"))
 
 
+def _uri(path: str) -> str:
+    """The address of a path as Spark names it: slashes after the scheme, blanks and the like quoted."""
+    scheme, colon, rest = path.partition(":")
+    return scheme + colon + ("//" if not rest.startswith("//") else "") + quote(rest, safe="/:@=+,~!$&'()*;")
+
+
 def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """SHA-256 of files, read in chunks."""
     for frame in frames:
         out = []
         for path in frame["path"]:
-            fs, name = pafs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+            fs, name = pafs.FileSystem.from_uri(_uri(path))
             digest = hashlib.sha256()
             with fs.open_input_stream(name, compression=None) as stream:
                 while chunk := stream.read(CHUNK):

@@ -13,6 +13,24 @@ def bounds_query(query: str, column: str, batch_size: int) -> str:
     return f"SELECT bucket_id, MIN({column}) AS lower_bound, MAX({column}) AS upper_bound, COUNT(*) AS row_count FROM (SELECT {column}, CEIL(ROW_NUMBER() OVER (ORDER BY {column}) / {batch_size}.0) AS bucket_id FROM ({query.strip()}) user_rows) ranked GROUP BY bucket_id ORDER BY bucket_id"
 
 
+def bucket(key: Column, bounds: list, after: bool = False) -> Column:
+    """The number of (sorted) bounds below the key, or with ``after`` of those not above it, by
+    bisection: an expression of the same size for any number of bounds."""
+    if not bounds:
+        return F.lit(0)
+    table = F.lit(bounds)
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = F.get(table, mid) <= key if after else F.get(table, mid) < key
+        up = (s["lo"] < s["hi"]) & below
+        return F.struct(F.when(up, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(up | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, step, lambda s: s["lo"])
+    return F.when(key.isNull(), 0).otherwise(found)
+
+
 def exact_buckets(df: DataFrame, column: str, batch_size: int) -> DataFrame:
     """(bucket_id, lower_bound, upper_bound, row_count) by exact rank.
 
@@ -24,14 +42,13 @@ def exact_buckets(df: DataFrame, column: str, batch_size: int) -> DataFrame:
     parts = keys.sparkSession.conf.get("spark.sql.shuffle.partitions")
     fractions = [i / int(parts) for i in range(1, int(parts))]
     cuts = sorted(set(keys.agg(F.percentile_approx("k", fractions, 10_000)).first()[0] or [])) if fractions else []
-    part = sum((F.when(F.col("k") > F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
-    keys = keys.withColumn("part", part)
+    keys = keys.withColumn("part", bucket(F.col("k"), cuts))
     before = keys.groupBy("part").agg(F.sum("n").alias("rows"))
     before = before.withColumn("base", F.sum("rows").over(Window.partitionBy().orderBy("part")) - F.col("rows")).select("part", "base")  # one row per range
     upto = Window.partitionBy("part").orderBy("k")
     ranked = keys.join(F.broadcast(before), "part").withColumn("last", F.col("base") + F.sum("n").over(upto)).withColumn("first", F.col("last") - F.col("n") + 1)
-    bucket = lambda c: F.ceil(c / batch_size).cast("long")
-    spread = ranked.withColumn("bucket_id", F.explode(F.sequence(bucket(F.col("first")), bucket(F.col("last")))))
+    of_rank = lambda c: F.ceil(c / batch_size).cast("long")
+    spread = ranked.withColumn("bucket_id", F.explode(F.sequence(of_rank(F.col("first")), of_rank(F.col("last")))))
     inside = F.least("last", F.col("bucket_id") * batch_size) - F.greatest("first", (F.col("bucket_id") - 1) * batch_size + 1) + 1
     return spread.groupBy("bucket_id").agg(F.min("k").alias("lower_bound"), F.max("k").alias("upper_bound"), F.sum(inside).alias("row_count"))
 
@@ -86,10 +103,7 @@ def collect_slices(slices: DataFrame) -> list[Slice]:
 
 def assign(column: Column, slices: list[Slice]) -> Column:
     """The index of the slice that a key falls in; NULL keys are in the first."""
-    out = F.lit(0)
-    for s in slices[1:]:
-        out = F.when(column >= F.lit(s.lower), s.index).otherwise(out)
-    return out
+    return bucket(column, [s.lower for s in slices[1:]], after=True)
 
 
 def objectid_seconds(oid: Column) -> Column:
