@@ -270,8 +270,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = written(docs.mapInArrow(run, schema))
     full = sig.where("n_shingles > 0 and doc_id is not null")
     classes = written(full.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
-    # one row per set: a row of its smallest id
-    reps = written(joined(full, classes, ["set_id"]).where("doc_id = rep").select("set_id", "rep", F.col("n_shingles").alias("size"), "bands", "sketch", "bitmap").dropDuplicates(["set_id"]))
+    # one row per set: a row of its smallest id; joined on both, so that copies spread
+    first = classes.select("set_id", F.col("rep").alias("doc_id"))
+    reps = full.join(first, ["set_id", "doc_id"]).dropDuplicates(["set_id", "doc_id"])
+    reps = written(reps.select("set_id", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), "bands", "sketch", "bitmap"))
     sketches = reps.select("set_id", "size", "sketch", "bitmap")
     id_of = reps.select("set_id", "rep")
 
