@@ -80,9 +80,14 @@ def peel(cells: str, level: int = 0) -> str:
         st -> named_struct('ok', forall(st.cells, s -> s.n = 0 AND s.k = 0 AND s.h = 0), 'more', st.more, 'less', st.less))"""
 
 
-def written_form(keys: Column, cells: str) -> Column:
-    """A sketch as text: the set's size, then count, digests and checks of each cell in hexadecimal."""
-    return F.concat(F.size(keys).cast("string"), F.lit(":"), F.expr(f"array_join(transform({cells}, s -> concat(lpad(hex(s.n & 255), 2, '0'), lpad(hex(s.k), 16, '0'), lpad(right(hex(s.h), 8), 8, '0'))), '')"))
+def packed_cells(cells: str) -> Column:
+    """Count, digests and checks of each cell, 13 bytes a cell."""
+    return F.expr(f"unhex(array_join(transform({cells}, s -> concat(lpad(hex(s.n & 255), 2, '0'), lpad(hex(s.k), 16, '0'), lpad(right(hex(s.h), 8), 8, '0'))), ''))")
+
+
+def written_form(size: str, cells: str) -> Column:
+    """A sketch as text: the set's size and the packed cells in hexadecimal."""
+    return F.concat(F.col(size).cast("string"), F.lit(":"), F.hex(cells))
 
 
 def _split(keys: str, side: str, level: int) -> str:
@@ -177,15 +182,16 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int")), F.substring("next_text", F.lit(1), third))
     rows = rows.withColumn("edited", edited).withColumn("e", paragraphs(F.col("edited"))).withColumn("ce", F.expr(sketch("e")))
     rows = rows.withColumn("p0", F.expr(peel(subtract("ca", "ce")))).withColumn("p1", F.expr(peel(subtract("ca", "cb"))))
-    # digests are kept where a pair goes on to be retried
+    # digests are kept where a pair goes on to be retried; sketches stay packed until the last join is done
     rows = rows.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        written_form(F.col("a"), "ca").alias("fingerprint"),
-        written_form(F.col("e"), "ce").alias("edited_fingerprint"),
+        F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
+        packed_cells("ca").alias("cells"),
+        packed_cells("ce").alias("edited_cells"),
         F.size("a").alias("size"),
+        F.size("e").alias("edited_size"),
         "p0",
         "p1",
         F.expr("if(p0.ok AND p1.ok, NULL, a)").alias("a"),
@@ -202,7 +208,7 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
         *(F.sum(F.size(part(1, c))).cast("int").alias(f"{c}_1") for c in ("more", "less")),
     )
     first = [F.when(F.col("p0.ok"), F.col(f"p0.{c}")).alias(f"peeled_{c}_0") for c in ("more", "less")] + [F.when(F.col("p1.ok"), F.size(f"p1.{c}")).alias(f"peeled_{c}_1") for c in ("more", "less")]
-    out = rows.select("row", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "size", *first).join(found, "row", "left")
+    out = rows.select("row", "doc_id", "n_chars", "edited_sha256", "cells", "edited_cells", "size", "edited_size", *first).join(found, "row", "left")
     for c in ("more", "less"):
         out = out.withColumn(f"only_{c}", F.array_sort(F.coalesce(f"peeled_{c}_0", f"{c}_0"))).withColumn(f"{c}_0", F.size(f"only_{c}")).withColumn(f"{c}_1", F.coalesce(f"peeled_{c}_1", f"{c}_1"))
 
@@ -210,4 +216,5 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
         common, every = F.col("size") - F.col(f"more_{p}"), F.col("size") + F.col(f"less_{p}")
         return F.when(every == 0, 1.0).otherwise(common / F.when(every > 0, every))
 
-    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(0).alias("near_edited"), likeness(1).alias("near_next"), F.col("only_more").alias("only_text"), F.col("only_less").alias("only_edited"))
+    prints = [written_form(size, cells).alias(name) for size, cells, name in (("size", "cells", "fingerprint"), ("edited_size", "edited_cells", "edited_fingerprint"))]
+    return out.select("doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), *prints, likeness(0).alias("near_edited"), likeness(1).alias("near_next"), F.col("only_more").alias("only_text"), F.col("only_less").alias("only_edited"))
