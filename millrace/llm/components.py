@@ -25,23 +25,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return kept.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b; self-loops and repeats
     allowed); component is the smallest node reachable.
 
     Groups are only ever reduced to their minimum, never collected, so a hub costs what
     its edges cost. Each round is a table in the shared folder. A round that changes
-    nothing (the same number and checksum of edges) ends the work.
+    nothing (the same number and checksum of edges) ends the work; there is no limit on rounds,
+    whose number grows with the logarithm of the longest chain, squared at most.
     """
     edges = written(edges.where("a <> b").select("a", "b").distinct())
-    state = None
-    for _ in range(max_rounds):
+    before, now = None, ()
+    while now != before:
         edges = written(_small_star(_large_star(edges)))
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(now) == state:
-            break
-        state = tuple(now)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        before, now = now, tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
