@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from .shared import written
 
+#: Edges that a partition holds when a round begins: a round over few edges is not spread over all partitions of the session.
+EDGES = 100_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of u is tied to the smallest of u and its neighbours."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
     return (
         both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
@@ -21,8 +24,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """u and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    kept = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return kept.union(least.select("a", F.col("m").alias("b"))).distinct()
+    tied = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))
+    return down.join(least, "a").select(F.inline(tied)).where("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,10 +37,13 @@ def components(edges: DataFrame) -> DataFrame:
     nothing (the same number and checksum of edges) ends the work; there is no limit on rounds,
     whose number grows with the logarithm of the longest chain, squared at most.
     """
+    def state() -> tuple[int, int]:
+        return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+
     edges = written(edges.where("a <> b").select("a", "b").distinct())
-    before, now = None, ()
+    before, now = None, state()
     while now != before:
-        edges = written(_small_star(_large_star(edges)))
-        before, now = now, tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+        edges = written(_small_star(_large_star(edges.coalesce(1 + now[0] // EDGES))))
+        before, now = now, state()
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
