@@ -10,9 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align
+from .attention import quality
 from .audio import excerpt, identify, sonify
 from .fingerprints import fingerprint_versions
 from .line_dedup import LINES_SQL, dedup_lines
+from .manifest import MANIFEST_SQL, audit
 from .mixing import MIX_SQL, mix
 from .near_dup import NEAR_SQL, near_duplicates
 from .packing import pack
@@ -72,6 +75,21 @@ def op10_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, sonify, excerpt, "vec_id", "embedding")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level tokens over sentencepiece tokens of every text."""
+    import public_tokenizers
+
+    return align(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model")).documents.drop("groups")
+
+
+def op12_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,7 +103,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_normaliser,
         op9_best_fit_packing,
         op10_chroma_fingerprints,
+        op11_tokenizer_alignment,
+        op12_attention_quality,
+        op13_merkle_manifest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL, "op7_minhash_near_dup": NEAR_SQL, "op8_warc_normaliser": ROUND_TRIP_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL, "op7_minhash_near_dup": NEAR_SQL, "op8_warc_normaliser": ROUND_TRIP_SQL, "op13_merkle_manifest": MANIFEST_SQL}
