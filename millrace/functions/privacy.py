@@ -26,13 +26,20 @@ def redact_columns(df: DataFrame, custom: Iterable[str] = ()) -> DataFrame:
     return df.select(*(F.lit(REDACTED).alias(c) if is_sensitive(c, custom) else F.col(f"`{c}`") for c in df.columns))
 
 
+#: The inside of a JSON string, escapes and all. Possessive, so that a long string takes no stack.
+_STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+
+
 def redact_payload(payload: Column, custom: Iterable[str] = ()) -> Column:
-    """Text values of sensitive keys in a JSON text become the sentinel."""
-    word = "|".join(PAYLOAD_KEYWORDS)
-    out = F.regexp_replace(payload, rf'(?i)"([^"]*(?:{word})[^"]*)"\s*:\s*"([^"]+)"', rf'"$1":"{REDACTED}"')
-    for name in filter(None, custom):
-        out = F.regexp_replace(out, rf'(?i)"({re.escape(name)})"\s*:\s*"([^"]+)"', rf'"$1":"{REDACTED}"')
-    return out
+    """Values of sensitive keys in a JSON text become the sentinel: texts, numbers, booleans and flat arrays.
+
+    A key is sensitive if it holds one of the keywords or is one of the ``custom`` names, in any case.
+    Objects are left to the keys inside them; null and empty texts stay. What is no JSON is searched alike.
+    """
+    words, names = "|".join(PAYLOAD_KEYWORDS), "".join(f'|{re.escape(n)}"' for n in custom if n)
+    key = rf'(?<!\\)"(?=[^"]*?(?:{words}){names})({_STRING})"\s*+:\s*+'
+    value = rf'(?:"(?!")(?s:{_STRING})"|-?[0-9][0-9.eE+-]*+|true\b|false\b|\[(?:[^\[\]{{}}"]++|"(?s:{_STRING})")*+\])'
+    return F.regexp_replace(payload, f"(?i){key}{value}", rf'"$1":"{REDACTED}"')
 
 
 def has_redaction(text: Column) -> Column:
