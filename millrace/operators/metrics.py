@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
-from urllib.parse import quote
+from contextlib import contextmanager
 
 import pandas as pd
-import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..stores import open_store
+
 #: Bytes of a file that are hashed at once.
 CHUNK = 8 << 20
 
@@ -72,18 +73,12 @@ def invalid_counts(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     return tagged.agg(F.array(*counts).alias("m")).select(F.inline("m"))
 
 
-def _uri(path: str) -> str:
-    """The address of a path as Spark names it: slashes after the scheme, blanks and the like quoted."""
-    scheme, colon, rest = path.partition(":")
-    return scheme + colon + ("//" if not rest.startswith("//") else "") + quote(rest, safe="/:@=+,~!$&'()*;")
-
-
 def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """SHA-256 of files, read in chunks."""
     for frame in frames:
         out = []
         for path in frame["path"]:
-            fs, name = pafs.FileSystem.from_uri(_uri(path))
+            fs, name = open_store(path)
             digest = hashlib.sha256()
             with fs.open_input_stream(name, compression=None) as stream:
                 while chunk := stream.read(CHUNK):
@@ -92,16 +87,41 @@ def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"length": frame["length"], "digest": out})
 
 
-def output_stats(spark, path: str, fmt: str = "parquet", rows: int | None = None) -> dict:
+@contextmanager
+def footers(spark: SparkSession) -> Iterator[None]:
+    """Counts and largest values of Parquet files, asked for in here, are answered by their footers
+    where those can: for rows, numbers and dates. No row is read then."""
+    wanted = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def parquet_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a folder of Parquet files, by their footers."""
+    with footers(spark):
+        return spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0] or 0  # no footer, no count
+
+
+def output_stats(spark, path: str, fmt: str = "parquet", rows: int | None = None, checksum: bool = True) -> dict:
     """Rows, bytes, files and one digest of a published folder, from what is really there.
 
     The digest is the SHA-256 of the files' own ones in their order, so it does not depend on
     names that a run makes up. Files are hashed in tasks, a chunk at a time. ``rows``: their
-    number where it is known and counting the files would not tell it.
+    number where it is known and counting the files would not tell it. Without
+    ``checksum`` no file is opened for its bytes.
     """
     if rows is None:
-        rows = spark.read.format(fmt).load(path).count()
+        rows = parquet_rows(spark, path) if fmt == "parquet" else spark.read.format(fmt).load(path).count()
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(~F.col("path").rlike(r"/[._][^/]*$")).select("path", "length")
+    if not checksum:
+        got = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+        return {"rows": rows, "files": got["files"], "bytes": got["bytes"], "checksum": None}
     each = files.repartition("path").mapInPandas(_digests, "length long, digest string")
     got = each.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ""), 256).alias("checksum")).first()
     return {"rows": rows, "files": got["files"], "bytes": got["bytes"], "checksum": got["checksum"]}

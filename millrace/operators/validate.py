@@ -21,6 +21,9 @@ from ..schema import Schema
 
 NULL_CAUSE = "non-nullable constraint violation"
 CAST_CAUSE = "type cast failed"
+MALFORMED = "malformed record"
+#: Characters of a malformed record that its audit event shows.
+SAMPLE = 200
 ACTIONS = ("warn", "quarantine", "fail")
 
 
@@ -82,6 +85,8 @@ class Validated:
     rules: tuple[Rule, ...]
     run: Run
     sensitive: tuple[str, ...]
+    #: Does the source tell malformed records? They are the first failure there is.
+    malformed: bool = False
 
     def persist(self) -> Validated:
         self.tagged.persist(StorageLevel.MEMORY_AND_DISK)
@@ -101,17 +106,23 @@ class Validated:
         """One dead letter per failing row, sensitive values redacted in payload and message."""
         cells = [F.lit(REDACTED) if is_sensitive(n, self.sensitive) else F.coalesce(F.col(f"_r_{i}"), F.lit("")) for i, n in enumerate(self.schema.names)]
         payload = redact_payload(F.concat(F.lit("["), F.concat_ws(" ", *cells), F.lit("]")), self.sensitive)
+        if self.malformed:
+            payload = F.when(F.col("_failure") == 0, redact_payload(F.col("_record"), self.sensitive)).otherwise(payload)
         return self.tagged.where("_failure IS NOT NULL").select(payload.alias("raw_payload"), F.col("_message").alias("error_message"), F.col("_failed_column").alias("failed_column"), "_source_file", self.run.timestamp().alias("_failed_at"), "_origin")
 
+    def _event(self) -> Column:
+        kind = F.lit("type_cast_failure")
+        return F.when(F.col("_failure") == 0, F.lit("malformed_record")).otherwise(kind) if self.malformed else kind
+
     @property
     def audit(self) -> DataFrame:
         """An ERROR event per failing row and a WARNING per soft rule that a valid row breaks."""
-        event = lambda kind, severity, column, rule, message, sample: F.struct(F.lit(kind).alias("event_type"), F.lit(severity).alias("severity"), column.alias("column_name"), rule.alias("rule_name"), message.alias("message"), sample.alias("sample_value"))
+        event = lambda kind, severity, column, rule, message, sample: F.struct(kind.alias("event_type"), F.lit(severity).alias("severity"), column.alias("column_name"), rule.alias("rule_name"), message.alias("message"), sample.alias("sample_value"))
         failed = F.col("_failure").isNotNull()
-        events = [F.when(failed, event("type_cast_failure", "ERROR", F.col("_failed_column"), F.col("_failed_rule"), F.col("_message"), F.col("_sample")))]
+        events = [F.when(failed, event(self._event(), "ERROR", F.col("_failed_column"), F.col("_failed_rule"), F.col("_message"), F.col("_sample")))]
         for i, r in enumerate(self.rules):
             if r.action == "warn":
-                events.append(F.when(~failed & F.col(f"_broken_{i}"), event("quality_warning", "WARNING", F.lit(r.column), F.lit(r.type), F.lit(r.message), F.lit(""))))
+                events.append(F.when(~failed & F.col(f"_broken_{i}"), event(F.lit("quality_warning"), "WARNING", F.lit(r.column), F.lit(r.type), F.lit(r.message), F.lit(""))))
         rows = self.tagged.select(F.explode(F.filter(F.array(*events), lambda e: e.isNotNull())).alias("e"))
         return rows.select(self.run.timestamp().alias("timestamp"), "e.*", F.lit(self.run.pipeline_id).alias("pipeline_id"), F.lit(self.run.execution_id).alias("run_id"))
 
@@ -124,10 +135,12 @@ class Validated:
         return kept.agg(F.array(*counts).alias("r")).select(F.inline("r")).where("n > 0")
 
 
-def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", trim: bool = True, source_file: str = "_source_file", origin: Column | None = None) -> Validated:
+def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", trim: bool = True, source_file: str = "_source_file", corrupt: str = "_corrupt_record", origin: Column | None = None) -> Validated:
     """Validate the text columns of ``df`` against ``schema``; fields in schema order, the first failure wins.
 
-    ``origin`` overrides the origin: source file, else schema id, else "default".
+    ``origin`` overrides the origin: source file, else schema id, else "default". A column named
+    ``corrupt``, unless the schema has it, tells records that a reader could not parse: such a row fails
+    before all else, its text is the dead letter's payload and no column is blamed.
     """
     run, rules, sensitive = run or Run(), tuple(rules), tuple(sensitive)
     names = schema.names
@@ -139,6 +152,9 @@ def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitiv
     ingested = F.coalesce(F.col("_ingested_at").cast("timestamp"), run.timestamp()) if "_ingested_at" in df.columns else run.timestamp()
     extra = [source.alias("_source_file"), where.alias("_origin"), ingested.alias("_ingested_at"), F.lit(run.job_id).alias("_job_id"), F.lit(run.execution_id).alias("_execution_id")]
     have = {c.lower() for c in df.columns}
+    malformed = corrupt in df.columns and corrupt not in names
+    if malformed:
+        extra.append(F.col(f"`{corrupt}`").cast("string").alias("_record"))
     raw = {f.name: (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast("string") for f in schema.fields}
     # plain columns: the optimizer would put a struct's fields back in wherever they are used
     texts = df.select(
@@ -148,6 +164,8 @@ def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitiv
     )
     typed = texts.select("*", *(cast_value(F.col(f"_t_{i}"), f).alias(f"_v_{i}") for i, f in enumerate(schema.fields)))
     failures = []  # (condition, column, rule, cause, type, value)
+    if malformed:
+        failures.append((F.col("_record").isNotNull(), None, "parse", MALFORMED, None, F.left(redact_payload(F.col("_record"), sensitive), F.lit(SAMPLE))))
     for i, f in enumerate(schema.fields):
         t, v = F.col(f"_t_{i}"), F.col(f"_v_{i}")
         if not f.nullable:
@@ -171,9 +189,10 @@ def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitiv
             out = F.when(F.col("_failure") == i, value(f)).otherwise(out)
         return out
 
-    shown = lambda f: F.lit(REDACTED) if is_sensitive(f[1], sensitive) else F.coalesce(f[5], F.lit(""))
-    tagged = tagged.select("*", pick(lambda f: F.lit(f[1])).alias("_failed_column"), pick(lambda f: F.lit(f[2])).alias("_failed_rule"), pick(shown).alias("_sample"), pick(lambda f: F.concat(F.lit(f'field "{f[1]}" ({f[4]}) with value "'), shown(f), F.lit(f'": {f[3]}'))).alias("_message"))
-    return Validated(tagged, schema, rules, run, sensitive)
+    message = lambda f: F.concat(F.lit(f'field "{f[1]}" ({f[4]}) with value "'), shown(f), F.lit(f'": {f[3]}')) if f[1] else F.lit(f[3])
+    shown = lambda f: F.lit(REDACTED) if f[1] and is_sensitive(f[1], sensitive) else F.coalesce(f[5], F.lit(""))
+    tagged = tagged.select("*", pick(lambda f: F.lit(f[1]).cast("string")).alias("_failed_column"), pick(lambda f: F.lit(f[2])).alias("_failed_rule"), pick(shown).alias("_sample"), pick(message).alias("_message"))
+    return Validated(tagged, schema, rules, run, sensitive, malformed)
 
 
 def drop_null_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,8 +6,10 @@ engines can rebuild them. ``_RAW`` holds those projections; both engines run the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,14 +18,16 @@ from .functions.privacy import has_redaction, redact_columns, redact_payload
 from .functions.render import json_row, plain_float, row_hash, timestamp_text
 from .operators import incremental, metrics, quality, slices
 from .operators.validate import Rule, Run, Validated, validate
+from .plans.incremental import published_runs, run_incremental
 from .plans.ingest import Sink, run_ingest
+from .runlog import RunLog
 from .schema import Field, Schema, conform, incompatibilities, union_evolved
 from .sinks.files import write_delimited, write_json_lines, write_parquet
-from .sinks.table import write_table
+from .sinks.table import commit_table, stage_table, write_table
 from .sources.documents import extract_records, flatten, json_path, to_record
 from .sources.files import read_delimited, read_json
 from .sources.jdbc import literal
-from .streaming.ingest import ingest_new_files, published_rows
+from .streaming.ingest import batches, dedup_stream, ingest_new_files, published_dead_letters, published_rows
 from .workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +90,16 @@ _RAW: dict[str, tuple[str, dict[str, str]]] = {
             "name": "c_name",
             "api_token": "concat('tok-', CAST(c_custkey AS STRING))",
             "seg": "CASE WHEN c_custkey % 11 = 0 THEN CAST(NULL AS STRING) ELSE c_mktsegment END",
-            "payload": "concat('{\"user\":\"', c_name, '\",\"password\" : \"pw-', CAST(c_custkey AS STRING), '\",\"cpf\":\"', CAST(c_custkey * 7 AS STRING), '\",\"nick\":\"n', CAST(c_nationkey AS STRING), '\"}')",
+            "payload": "concat('{\"user\":\"', c_name, '\",\"password\" : \"pw-', chr(92), '\",', CAST(c_custkey AS STRING), '\",\"cpf\":', CAST(c_custkey * 7 AS STRING), ',\"nick\":\"n', CAST(c_nationkey AS STRING), '\",\"Auth_Ok\":true,\"tokens\":[\"a]\",1],\"note\":\"password: none\"}')",
+        },
+    ),
+    "raw_lines": (
+        "orders",
+        {
+            "k": "o_orderkey",
+            "st": "o_orderstatus",
+            "broken": "o_orderkey % 13 < 6",
+            "line": "CASE o_orderkey % 13 WHEN 0 THEN concat('{\"id\":', CAST(o_orderkey AS STRING), ',\"st\":\"') WHEN 1 THEN concat('{\"id\":', CAST(o_orderkey AS STRING), '}{\"id\":2}') WHEN 2 THEN CAST(o_orderkey AS STRING) WHEN 3 THEN concat('{\"id\":', CAST(o_orderkey AS STRING), '} tail') WHEN 4 THEN concat('{broken ', CAST(o_orderkey AS STRING)) WHEN 5 THEN concat('{\"id\":', CAST(o_orderkey AS STRING), '}]') ELSE concat('{\"id\":', CAST(o_orderkey AS STRING), ',\"st\":\"', o_orderstatus, '\",\"more\":{\"x\":[1]}}') END",
         },
     ),
 }
@@ -385,12 +398,16 @@ def redact_sensitive_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact_columns(_raw(spark, sf_dir, "raw_secrets"), ["NAME"])
 
 
-@query(
-    _raw_sql("raw_secrets")
-    + """, p AS (SELECT id, regexp_replace(payload, '"([^"]*(?:password|secret|token|apikey|api_key|auth|credential|cpf)[^"]*)"\\s*:\\s*"([^"]+)"', '"\\1":"[REDACTED]"', 'gi') AS a FROM raw_secrets),
-q AS (SELECT id, regexp_replace(a, '"(nick)"\\s*:\\s*"([^"]+)"', '"\\1":"[REDACTED]"', 'gi') AS payload FROM p)
-SELECT id, payload, contains(payload, '[REDACTED]') AS redacted FROM q"""
-)
+def _redacted(nick: str) -> str:
+    """The payload of raw_secrets with its sensitive values redacted, by value."""
+    hidden = '"[REDACTED]"'
+    return f"""concat('{{"user":"', name, '","password":{hidden},"cpf":{hidden},"nick":', {nick}, ',"Auth_Ok":{hidden},"tokens":{hidden},"note":"password: none"}}')"""
+
+
+_NICK = "regexp_extract(payload, '\"nick\":(\"[^\"]*\")', 1)"
+
+
+@query(_raw_sql("raw_secrets") + f""" SELECT id, {_redacted("'\"[REDACTED]\"'")} AS payload, true AS redacted FROM raw_secrets""")
 def redact_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _raw(spark, sf_dir, "raw_secrets").select("id", redact_payload(F.col("payload"), ["nick"]).alias("payload"))
     return rows.withColumn("redacted", has_redaction(F.col("payload")))
@@ -398,11 +415,8 @@ def redact_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _raw_sql("raw_secrets")
-    + f""", s AS (SELECT *, {_int_sql("id")} AS vid FROM raw_secrets)
-SELECT '[' || concat_ws(' ', id, name, '[REDACTED]', coalesce(seg, ''), regexp_replace(payload, '"([^"]*(?:password|secret|token|apikey|api_key|auth|credential|cpf)[^"]*)"\\s*:\\s*"([^"]+)"', '"\\1":"[REDACTED]"', 'gi')) || ']' AS raw_payload,
-  'field "id" (int64) with value "bad": type cast failed' AS error_message FROM s WHERE vid IS NULL
-UNION ALL SELECT '[' || concat_ws(' ', id, name, '[REDACTED]', coalesce(seg, ''), regexp_replace(payload, '"([^"]*(?:password|secret|token|apikey|api_key|auth|credential|cpf)[^"]*)"\\s*:\\s*"([^"]+)"', '"\\1":"[REDACTED]"', 'gi')) || ']',
-  'field "api_token" (int64) with value "[REDACTED]": type cast failed' FROM s WHERE vid IS NOT NULL"""
+    + f""", s AS (SELECT *, {_int_sql("id")} AS vid, '[' || concat_ws(' ', id, name, '[REDACTED]', coalesce(seg, ''), {_redacted(_NICK)}) || ']' AS raw_payload FROM raw_secrets)
+SELECT raw_payload, CASE WHEN vid IS NULL THEN 'field "id" (int64) with value "bad": type cast failed' ELSE 'field "api_token" (int64) with value "[REDACTED]": type cast failed' END AS error_message FROM s"""
 )
 def redacted_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A failing sensitive column shows its value neither in the payload nor in the message."""
@@ -569,6 +583,42 @@ def two_runs_equal_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_evolved([df.select("o_orderkey", F.lit(i).alias("run")) for i, df in ((1, first), (2, second), (3, third))])
 
 
+@query("SELECT o_orderkey AS id, o_custkey AS cust, CASE WHEN o_orderkey <= m // 3 THEN 1 WHEN o_orderkey <= 2 * m // 3 THEN 2 ELSE 3 END AS run FROM orders, (SELECT max(o_orderkey) AS m FROM orders) WHERE o_custkey % 7 <> 0")
+def incremental_runs_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs by job id over a table that grows. The second ends between its data and its mark and is
+    run again: every row is published by one run."""
+    orders, out = _table(spark, sf_dir, "orders"), shared_folder(spark)
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    schema, mark = Schema.of(Field("id", "int64", False), Field("cust", "int64", False)), incremental.Mark("id", "integer")
+
+    class Killed(RunLog):
+        def put(self, version: int, content: dict):
+            raise InterruptedError
+
+    def read(limit: int) -> Callable[[incremental.Mark], DataFrame]:
+        rows = orders.where(F.col("o_orderkey") <= limit).select(F.col("o_orderkey").alias("id"), F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("cust"))
+        return lambda last: incremental.newer(rows, last).select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+
+    log = RunLog(spark, f"{out}/state", "orders")
+    for kind, limit in ((RunLog, top // 3), (Killed, 2 * top // 3), (RunLog, 2 * top // 3), (RunLog, top)):
+        try:
+            run_incremental(kind(spark, f"{out}/state", "orders"), read(limit), schema, f"{out}/runs", mark, checksum=False)
+        except InterruptedError:
+            pass
+    return published_runs(log, ["id", "cust"]).withColumnRenamed("_version", "run")
+
+
+@query("SELECT max(o_orderkey) AS mark, count(*) AS n, max(o_orderdate) AS day FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE)::VARCHAR AS o_orderdate FROM orders WHERE o_orderkey % 5 <> 0)")
+def mark_of_written_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count and marks of the files of a sink, from their footers."""
+    path = shared_folder(spark)
+    write_parquet(_table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day")), path)
+    with metrics.footers(spark):
+        written = spark.read.parquet(path)
+        mark, day = (incremental.next_mark(written, incremental.Mark(c, k)) for c, k in (("o_orderkey", "integer"), ("day", "date")))
+    return spark.range(1).select(F.lit(int(mark.text)).alias("mark"), F.lit(metrics.parquet_rows(spark, path)).alias("n"), F.lit(day.text).alias("day"))
+
+
 # --- rendering ----------------------------------------------------------------------------
 
 
@@ -713,8 +763,6 @@ def run_files_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_ORDERS_SQL + "SELECT vid AS id, vcust AS cust, vts AS ts FROM v WHERE failed IS NULL")
 def run_ingest_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job into a table of the catalog."""
-    import uuid
-
     out, name = shared_folder(spark), f"sink_{uuid.uuid4().hex}"
     run_ingest(_raw(spark, sf_dir, "raw_orders"), ORDERS, out, schema_id="orders", sink=Sink("table", {"dataset": "millrace_sink", "table": name}))
     path = shared_folder(spark)
@@ -725,8 +773,6 @@ def run_ingest_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'append' AS step, 2 * count(*) AS n FROM nation UNION ALL SELECT 'truncate', count(*) FROM nation UNION ALL SELECT 'empty', -1 FROM (SELECT count(*) FROM nation)")
 def table_sink_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
     name, nation = f"sink_{uuid.uuid4().hex}", _table(spark, sf_dir, "nation")
     write_table(nation, "millrace_sink", name, "empty")
     write_table(nation, "millrace_sink", name, "append")
@@ -742,6 +788,50 @@ def table_sink_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([("append", appended), ("truncate", replaced), ("empty", refused)], "step string, n long")
 
 
+@query("SELECT 'staged' AS step, 0 AS n FROM (SELECT count(*) FROM orders) UNION ALL SELECT unnest(['committed', 'run again', 'another run', 'truncated']), unnest([count(*), count(*), 2 * count(*), count(*)]) FROM orders")
+def table_sink_run_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a run that ended before its commit are not in the table; a run that is started again adds nothing."""
+    name, rows, steps = f"sink_{uuid.uuid4().hex}", _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), []
+    full = f"millrace_sink.{name}"
+
+    def step(label: str) -> None:
+        steps.append((label, spark.table(full).count()))
+
+    stage_table(rows, "millrace_sink", name, run_id="run 1")  # ends here, before it is counted
+    step("staged")
+    for label, run, disposition in (("committed", "run 1", "append"), ("run again", "run 1", "append"), ("another run", "run 2", "append"), ("truncated", "run 3", "truncate")):
+        commit_table(spark, stage_table(rows, "millrace_sink", name, disposition, run))
+        step(label)
+    spark.sql(f"DROP TABLE {full}")
+    return spark.createDataFrame(steps, "step string, n long")
+
+
+_LINES_KIND_SQL = _raw_sql("raw_lines") + " SELECT 'valid' AS kind, CAST(k AS VARCHAR) AS a, st AS b FROM raw_lines WHERE NOT broken UNION ALL SELECT 'dead letter', line, 'malformed record' FROM raw_lines WHERE broken"
+#: Nothing in it keeps a malformed line from being a row of NULLs.
+LOOSE = Schema.of(Field("id"), Field("st"))
+
+
+@query(_LINES_KIND_SQL + " UNION ALL SELECT 'audit', 'malformed_record', CAST(count(*) AS VARCHAR) FROM raw_lines WHERE broken")
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of which some are cut short, doubled, or no objects: each is a valid row or a dead letter."""
+    path = shared_folder(spark)
+    _raw(spark, sf_dir, "raw_lines").select("line").write.option("compression", "gzip").text(path)
+    checked = validate(read_json(spark, [path], LOOSE, on_malformed="quarantine"), LOOSE, trim=False)
+    valid = checked.valid.select(F.lit("valid").alias("kind"), F.col("id").alias("a"), F.col("st").alias("b"))
+    audit = checked.audit.groupBy(F.lit("audit").alias("kind"), F.col("event_type").alias("a")).agg(F.count("*").cast("string").alias("b"))
+    return valid.union(checked.dlq.select(F.lit("dead letter"), "raw_payload", "error_message")).union(audit)
+
+
+@query(_LINES_KIND_SQL)
+def malformed_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines as files of a folder that is ingested in batches."""
+    folder, out, state = (shared_folder(spark) for _ in range(3))
+    _raw(spark, sf_dir, "raw_lines").select("line").repartition(6).write.text(folder)
+    ingest_new_files(spark, folder, LOOSE, out, state, "json", max_files=4).awaitTermination()
+    valid = published_rows(spark, out).select(F.lit("valid").alias("kind"), F.col("id").alias("a"), F.col("st").alias("b"))
+    return valid.union(published_dead_letters(spark, out).select(F.lit("dead letter"), "raw_payload", "error_message"))
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_path_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", json_path(F.col("props"), "k").cast("bigint").alias("k"))
@@ -809,6 +899,38 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published_rows(spark, out).select("id", "cust", "ts")
 
 
+@query(_ORDERS_SQL + "SELECT 3 AS batches, 12 AS files, count(*) AS total_read, count(*) FILTER (failed IS NULL) AS valid, count(*) FILTER (failed IS NOT NULL) AS dlq, count(*) FILTER (failed IS NULL) AS published, 0 AS unbalanced FROM v")
+def stream_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve files in batches of five. The second batch fails after its data are written and is replayed."""
+    folder, out, state = (shared_folder(spark) for _ in range(3))
+    _raw(spark, sf_dir, "raw_orders").repartition(12).write.option("escape", '"').csv(folder)
+
+    class Killed(RunLog):
+        def put(self, version: int, content: dict):
+            if version == 2:
+                raise InterruptedError
+            return super().put(version, content)
+
+    try:
+        ingest_new_files(spark, folder, ORDERS, out, state, max_files=5, log=Killed(spark, f"{out}/log", "batches")).awaitTermination()
+    except StreamingQueryException:
+        pass
+    ingest_new_files(spark, folder, ORDERS, out, state, max_files=5).awaitTermination()
+    sums = batches(spark, out).agg(F.count("*").cast("int").alias("batches"), F.sum("files").cast("int").alias("files"), *(F.sum(c).alias(c) for c in ("total_read", "valid", "dlq")), F.count_if(F.col("total_read") != F.col("valid") + F.col("dlq")).cast("int").alias("unbalanced"))
+    return sums.withColumn("published", F.lit(published_rows(spark, out).count()))
+
+
+@query("SELECT event_id, user_id FROM events")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which a half comes twice, as a stream whose repeats are dropped."""
+    folder, out, state = (shared_folder(spark) for _ in range(3))
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    events.union(events.where("event_id % 2 = 0")).repartition(4).write.parquet(folder)
+    stream = dedup_stream(spark.readStream.schema(events.schema).parquet(folder), ["event_id"], "ts", "3650 days")
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id")
+
+
 @query("SELECT c_custkey AS k, sha256('[\"' || c_name || '\",' || CASE WHEN c_custkey % 4 = 0 THEN 'null' ELSE '\"' || c_mktsegment || '\"' END || ']') AS hash FROM customer")
 def row_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "customer")

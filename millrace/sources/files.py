@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,22 +126,67 @@ def read_delimited(spark: SparkSession, paths: Sequence[str], schema: Schema, se
     return reduce(DataFrame.union, [reader.option("header", h).csv(p).select(*cells, F.col("_metadata.file_path").alias("_source_file")) for p, h in parts])
 
 
+def _decoded(raw: Column, charset: str) -> Column:
+    """The text of bytes that were read as if they were UTF-8."""
+    if charset == "UTF-8":
+        return raw
+    if charset != "windows-1252":
+        return F.decode(raw.cast("binary"), charset)
+    # Spark decodes Latin-1 only, which differs in these 32 bytes
+    control = bytes(range(0x80, 0xA0))
+    return F.translate(F.decode(raw.cast("binary"), "ISO-8859-1"), control.decode("latin1"), control.decode("cp1252", "replace"))
+
+
+def _lines(spark: SparkSession, paths: Sequence[str], charset: str) -> DataFrame:
+    """(line, _source_file) of texts, decoded, without blank lines, the byte order mark and carriage returns."""
+    raw = spark.read.option("lineSep", "\n").option("encoding", charset).text(list(paths))
+    line = F.rtrim(F.ltrim(_decoded(F.col("value"), charset), F.lit("\ufeff")), F.lit("\r"))
+    return raw.select(line.alias("line"), F.col("_metadata.file_path").alias("_source_file")).where(clean(F.col("line")).isNotNull())
+
+
+def parse_json_lines(lines: DataFrame, schema: Schema, line: str = "line") -> DataFrame:
+    """The schema's columns by name as text, _corrupt_record, and all other columns of ``lines``.
+
+    A line must be one JSON object and nothing else. It is parsed as an array of the line and a
+    mark, so that an object that is cut short, two objects on a line, or anything after an object is
+    malformed; its text is then in _corrupt_record and the schema's columns are NULL.
+    """
+    mark = "_end"
+    while mark in schema.names:
+        mark += "_"
+    fields = T.ArrayType(T.StructType([*schema.raw().fields, T.StructField(mark, T.StringType())]))
+    whole = F.concat(F.lit("["), F.col(line), F.lit(f',{{"{mark}":"{mark}"}}]'))
+    parsed = lines.withColumn("_parsed", F.from_json(whole, fields, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}))
+    good = F.coalesce((F.size("_parsed") == 2) & F.col("_parsed")[0].isNotNull() & F.col("_parsed")[1][mark].eqNullSafe(F.lit(mark)), F.lit(False))
+    parsed = parsed.withColumn("_good", good)
+    cells = [F.when(F.col("_good"), F.col("_parsed")[0][n]).alias(n) for n in schema.names]
+    return parsed.select(*cells, F.when(~F.col("_good"), F.col(line)).alias("_corrupt_record"), *(c for c in lines.columns if c != line))
+
+
 def read_json(spark: SparkSession, paths: Sequence[str], schema: Schema, array: bool = False, on_malformed: str = "fail", charset: str = "utf-8") -> DataFrame:
     """JSON lines, or files that hold one array: the schema's columns by name as text, and _source_file.
 
     Numbers keep all their digits, nested values stay JSON text, missing keys are NULL. A malformed
-    line fails the read, or with on_malformed="quarantine" comes back in _corrupt_record, all else NULL.
+    line, or file of an array, fails the read. With on_malformed="quarantine" it comes back with its text in
+    _corrupt_record and all else NULL, which ``validate`` makes a dead letter.
     """
     if on_malformed not in ("fail", "quarantine"):
         raise ValueError(f"on_malformed is {on_malformed!r}, not fail or quarantine")
     refuse_framed_snappy(spark, paths)
-    struct = schema.raw()
-    reader = spark.read.option("multiLine", array).option("encoding", _charset(charset))
     if not array:
-        reader = reader.option("lineSep", "\n")
+        rows = parse_json_lines(_lines(spark, paths, _charset(charset)), schema)
+        if on_malformed == "quarantine":
+            return rows
+        stop = F.raise_error(F.concat(F.lit("malformed record in "), F.col("_source_file"), F.lit(": "), F.left("_corrupt_record", F.lit(200))))
+        # a filter, as a column would not be looked at by a query that does not need it
+        return rows.where(F.when(F.col("_corrupt_record").isNull(), F.lit(True)).otherwise(stop)).drop("_corrupt_record")
+    struct = schema.raw()
+    reader = spark.read.option("multiLine", True).option("encoding", _charset(charset))
     if on_malformed == "fail":
         df = reader.option("mode", "FAILFAST").schema(struct).json(list(paths))
         return df.select("*", F.col("_metadata.file_path").alias("_source_file"))
     struct = T.StructType([*struct.fields, T.StructField("_corrupt_record", T.StringType())])
     df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").schema(struct).json(list(paths))
-    return df.select("*", F.col("_metadata.file_path").alias("_source_file"))
+    # a query may need nothing but the malformed records, which the reader does not allow: this one needs a field too
+    corrupt = F.when(F.col("_corrupt_record").isNotNull() | F.col(f"`{schema.names[0]}`").isNotNull(), F.col("_corrupt_record"))
+    return df.select(*schema.names, corrupt.alias("_corrupt_record"), F.col("_metadata.file_path").alias("_source_file"))

@@ -31,6 +31,11 @@ def _at(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, there = _at(spark, path)
+    return fs.exists(there)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder within its store; the target must not be there yet."""
     fs, there = _at(spark, target)
