@@ -16,7 +16,7 @@ from ..operators.quality import GateError, Gates, duplicates
 from ..operators.validate import Rule, Run, validate
 from ..schema import Schema
 from ..sinks.files import with_lineage, write_audit, write_delimited, write_json_lines, write_parquet, write_quarantine, write_run_file
-from ..sinks.rest import post_rows
+from ..sinks.rest import Api, post_batches, refused_rows
 from ..sinks.table import commit_table, stage_table
 from ..workspace import move, remove
 
@@ -55,9 +55,9 @@ def _write_files(data: DataFrame, path: str, sink: Sink, checksum: bool) -> dict
     return output_stats(data.sparkSession, path, rows=None if sink.kind == "parquet" else seen.get["rows"], checksum=checksum)
 
 
-def _refused(posted: DataFrame, run: Run) -> DataFrame:
+def _refused(rows: DataFrame, run: Run) -> DataFrame:
     """Rows that a sink refused, as dead letters."""
-    return posted.where("NOT accepted").select("raw_payload", "error_message", F.lit(None).cast("string").alias("failed_column"), F.col("origin").alias("_source_file"), run.timestamp().alias("_failed_at"), F.col("origin").alias("_origin"))
+    return rows.select("raw_payload", "error_message", F.lit(None).cast("string").alias("failed_column"), F.col("origin").alias("_source_file"), run.timestamp().alias("_failed_at"), F.col("origin").alias("_origin"))
 
 
 def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule] = (), gates: Gates = Gates(), unique: Sequence[str] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", mark: Mark | None = None, offset: int | None = None, trim: bool = True, compression: str = "snappy", single_file: bool = False, custom: Mapping[str, Column] | None = None, sink: Sink | None = None, checksum: bool = True) -> Report:
@@ -97,11 +97,12 @@ def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule
         origins = origin_metrics(checked.tagged)
         written = data.drop("_origin")
         if sink.kind == "rest":
-            posted = post_rows(data.select(*schema.names, "_origin"), **sink.options)
-            refused = posted.where("NOT accepted").groupBy("origin").agg(F.count("*").alias("n"))
-            origins = move_rejects(origins, refused)
-            write_quarantine(_refused(posted, run), f"{out}/quarantine", "append")
-            stats = {"rows": posted.where("accepted").count(), "files": 0, "bytes": 0}
+            receipts = post_batches(data.select(*schema.names, "_origin"), Api(**sink.options))
+            refused = refused_rows(receipts)
+            origins = move_rejects(origins, refused.groupBy("origin").agg(F.count("*").alias("n")))
+            write_quarantine(_refused(refused, run), f"{out}/quarantine", "append")
+            accepted = receipts.where("accepted").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+            stats = {"rows": accepted, "files": 0, "bytes": 0}
             dlq = total - stats["rows"]
             stop(gates.broken(read, stats["rows"], dlq))
         elif sink.kind == "table":

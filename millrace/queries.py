@@ -7,10 +7,11 @@ engines can rebuild them. ``_RAW`` holds those projections; both engines run the
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import casts
@@ -27,6 +28,8 @@ from .sinks.table import commit_table, stage_table, write_table
 from .sources.documents import extract_records, flatten, json_path, to_record
 from .sources.files import read_delimited, read_json
 from .sources.jdbc import literal
+from .sources.page_store import PageServer, write_pages
+from .sources.rest import RestPages
 from .streaming.ingest import batches, dedup_stream, ingest_new_files, published_dead_letters, published_rows
 from .workspace import shared_folder
 
@@ -806,6 +809,84 @@ def table_sink_run_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(steps, "step string, n long")
 
 
+#: Rows of a page of the tables that are served as an API.
+_PAGE = 500
+
+
+@contextmanager
+def _served(spark: SparkSession, sf_dir: str) -> Iterator[tuple[PageServer, DataFrameReader]]:
+    """The orders behind an API, page by page, and a reader of it."""
+    path = shared_folder(spark)
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    store = PageServer(spark, path, write_pages(rows, path, "id", _PAGE), posted=shared_folder(spark))
+    spark.dataSource.register(RestPages)
+    with store.running(spark.conf.get("spark.driver.host", "127.0.0.1")) as url:
+        yield store, spark.read.format("rest_pages").schema("id string, status string, price string, _api_calls string").options(base_url=url, records_path="items", page_size=str(_PAGE))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+_API_SQL = "SELECT o_orderkey AS id, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price FROM orders"
+_API = Schema.of(Field("id", "int64", False), Field("status"), Field("price", "decimal", scale=2))
+
+
+@query(_API_SQL)
+def rest_source_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, read from an API by numbered pages in several tasks, and validated."""
+    with _served(spark, sf_dir) as (store, reader):
+        rows = _kept(reader.options(initial_page="0", total_pages_hint=str(store.pages)).load())
+    return validate(rows, _API).valid.select("id", "status", F.col("price").cast("string").alias("price"))
+
+
+@query(_API_SQL + " WHERE o_orderstatus <> 'O'")
+def rest_source_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a cursor, in one task, with a filter that stays in Spark."""
+    with _served(spark, sf_dir) as (store, reader):
+        rows = _kept(reader.options(pagination="cursor_token", next_cursor_path="next").load().where("status <> 'O'"))
+    return validate(rows, _API).valid.select("id", "status", F.col("price").cast("string").alias("price"))
+
+
+@query("SELECT count(*) AS n, min(o_orderkey) AS least, true AS every_request_narrowed, true AS one_request_a_page FROM orders WHERE o_orderstatus = 'F'")
+def rest_filter_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter of Spark's goes with every request; as many requests are counted as the server got."""
+    before = spark.conf.get("spark.sql.python.filterPushdown.enabled")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        with _served(spark, sf_dir) as (store, reader):
+            rows = _kept(reader.options(**{"initial_page": "0", "total_pages_hint": str(store.pages), "push.eq.status": "only"}).load().where("status = 'F'"))
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", before)
+    return rows.agg(F.count("*").alias("n"), F.min(F.col("id").cast("long")).alias("least"), F.lit(store.narrowed == store.calls).alias("every_request_narrowed"), F.lit(store.calls == store.pages).alias("one_request_a_page"))
+
+
+@query(_API_SQL)
+def rest_stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The API as a stream: a first run sees a half of its pages, the next goes on behind them."""
+    out, state = shared_folder(spark), shared_folder(spark)
+    with _served(spark, sf_dir) as (store, reader):
+        pages = store.pages
+        stream = spark.readStream.format("rest_pages").schema("id string, status string, price string").options(base_url=store.url, records_path="items", initial_page="0", page_size="1", total_count_path="pages")
+        for seen in (pages // 2, pages, pages):
+            store.pages = seen
+            stream.load().writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return validate(spark.read.parquet(out), _API).valid.select("id", "status", F.col("price").cast("string").alias("price"))
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS status, true AS agree FROM orders")
+def rest_sink_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole job into an API, and the batches that it got."""
+    with _served(spark, sf_dir) as (store, _):
+        raw = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"))
+        schema = Schema.of(Field("id", "int64", False), Field("status"))
+        report = run_ingest(raw, schema, shared_folder(spark), sink=Sink("rest", {"url": f"{store.url}/orders", "batch_size": _PAGE}))
+    back = spark.read.schema("id long, status string").json(store.posted)
+    return back.withColumn("agree", F.lit(report.valid == report.total_read == back.count()))
+
+
 _LINES_KIND_SQL = _raw_sql("raw_lines") + " SELECT 'valid' AS kind, CAST(k AS VARCHAR) AS a, st AS b FROM raw_lines WHERE NOT broken UNION ALL SELECT 'dead letter', line, 'malformed record' FROM raw_lines WHERE broken"
 #: Nothing in it keeps a malformed line from being a row of NULLs.
 LOOSE = Schema.of(Field("id"), Field("st"))
