@@ -1,8 +1,8 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
-1. *Lexicon.* Word and word-prefix counts of a bounded sample of labelled documents give
-   log-odds between the toxic and the other documents under a Dirichlet prior whose
-   pseudo-counts follow the pooled frequencies. Features whose log-odds are significant
+1. *Lexicon.* Counts of the documents of a bounded labelled sample that hold a word, or words of a
+   prefix, give log-odds between the toxic and the other documents under a Dirichlet prior whose
+   pseudo-counts follow the pooled frequencies. A word that one document repeats counts once. Features whose log-odds are significant
    get a positive integer score; every other token scores -1.
 2. *Tagging.* One pass over all texts keeps, per document, the token count and the
    positions and scores of its lexicon tokens.
@@ -10,8 +10,8 @@
    lambda and K of the limit law of maximal segment scores.
 4. *Segments.* A linear scan finds all maximal scoring segments of a document; each gets a
    normalised score lambda*S - ln(K*n), and those unlikely by chance are reported.
-5. *Calibration.* A logistic curve over the aggregated segment scores turns them into a
-   probability. It is cross-fitted: the scores of a fold of the labelled sample come from a
+5. *Calibration.* A logistic curve over the aggregated scores of the reported segments, and nothing
+   else of a text, turns them into a probability. It is cross-fitted: the scores of a fold of the labelled sample come from a
    lexicon that did not see that fold.
 """
 
@@ -160,37 +160,36 @@ def _statistics(tagged: DataFrame) -> tuple[float, float]:
 
 def _segments(lam: float, k: float):
     seg = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.int32())])
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("best", pa.float64()), ("total", pa.float64()), ("hits", pa.float64()), ("passages", pa.list_(seg))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("best", pa.float64()), ("total", pa.float64()), ("covered", pa.float64()), ("passages", pa.list_(seg))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, total, hits, passages = [], [], [], []
+            best, total, covered, passages = [], [], [], []
             for n, pos, sc in zip(batch.column("n_tokens").to_pylist(), batch.column("positions").to_pylist(), batch.column("scores").to_pylist(), strict=True):
                 base = math.log(k * max(n, 1))
-                found = maximal_segments(pos, sc)
-                normal = [lam * s - base for _, _, s in found]
-                good = [i for i, x in enumerate(normal) if math.exp(-x) <= EXPECTED]
-                best.append(max(normal, default=-base))
-                total.append(sum(normal[i] for i in good))
-                hits.append((sum(sc) - n) / (n + 20))
-                passages.append([{"start": found[i][0], "end": found[i][1], "score": found[i][2]} for i in good])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(best, pa.float64()), pa.array(total, pa.float64()), pa.array(hits, pa.float64()), pa.array(passages, pa.list_(seg))], schema=schema)
+                found = [(a, b, s, lam * s - base) for a, b, s in maximal_segments(pos, sc)]
+                good = [f for f in found if math.exp(-f[3]) <= EXPECTED]
+                best.append(max((f[3] for f in good), default=0.0))
+                total.append(sum(f[3] for f in good))
+                covered.append(sum(f[1] - f[0] for f in good) / max(n, 1))
+                passages.append([{"start": a, "end": b, "score": s} for a, b, s, _ in good])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(best, pa.float64()), pa.array(total, pa.float64()), pa.array(covered, pa.float64()), pa.array(passages, pa.list_(seg))], schema=schema)
 
-    return run, "doc_id long, n_tokens long, best double, total double, hits double, passages array<struct<start:int,end:int,score:int>>"
+    return run, "doc_id long, n_tokens long, best double, total double, covered double, passages array<struct<start:int,end:int,score:int>>"
 
 
-def _features(best, total, hits, exp=F):
-    """Bounded, so that no extreme document dominates the curve."""
-    squash = (lambda c: F.greatest(F.lit(-20.0), F.least(F.lit(40.0), c)) / 10) if exp is F else (lambda c: np.clip(c, -20, 40) / 10)
-    return [squash(best), squash(total), F.greatest(F.lit(-1.0), F.least(F.lit(3.0), hits)) if exp is F else np.clip(hits, -1, 3)]
+def _features(best, total, covered, log1p=F.log1p):
+    """The reported passages and nothing else: the normalised score of the best, that of all together
+    (the r-segment sum), on a logarithmic scale, and the share of the text that they cover. Without any, all are 0."""
+    return [log1p(best), log1p(total), covered]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter = Counter()
         for text, toxic, fold in zip(batch.column("text"), batch.column("toxic").to_pylist(), batch.column("fold").to_pylist(), strict=True):
-            for w, n in Counter(tokens(text.as_py() or "")).items():
-                counts[w, toxic, fold] += n
+            for w in set(tokens(text.as_py() or "")):
+                counts[w, toxic, fold] += 1
         rows = [(*key, n) for key, n in counts.items()]
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["word", "toxic", "fold", "n"])
@@ -251,9 +250,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     n_tokens and passages, the significant segments by token position and score.
 
     ``labels`` has an id and a label column (1 toxic, 0 not; null: no label; several labels of
-    an id: the largest counts). Rows whose crc32 of the id's text is divisible by 5 are never
-    learned from. Only the text enters a score: equal texts score alike. Empty and null texts
-    have no tokens and get the score of such a document. Without labels of both kinds the
+    an id: the largest counts; of rows that repeat a labelled id, one is learned from). Rows whose crc32 of the id's text is divisible by 5 are never
+    learned from. Only the passages enter a score: equal texts score alike, and so do all texts
+    without any, empty and null ones too. Without labels of both kinds the
     lexicon is empty and all documents score alike, below 0.5. A null id is scored, but never
     labelled and not held out. An empty table gives an empty result.
     """
@@ -262,7 +261,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     train = labels.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # at most max_labelled rows of two numbers, so the broadcast is bounded by that parameter
     train = F.broadcast(written(train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)))
-    sample = docs.join(train, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int"))
+    # of rows that repeat an id, the one with the smallest text
+    sample = docs.join(train, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int"))
     sample = written(sample)
     words = written(sample.select("text", "toxic", "fold").mapInArrow(_count, "word string, toxic int, fold int, n long").groupBy("word", "toxic", "fold").agg(F.sum("n").alias("n")))
     model = _lexicon(words)
@@ -275,14 +275,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     apart = [segments(_lexicon(words.where(F.col("fold") != f)), sample.where(F.col("fold") == f)) for f in range(FOLDS)]
     seen = reduce(DataFrame.union, apart)
-    fit = seen.join(train, "doc_id").select("best", "total", "hits", "toxic").toPandas()  # at most max_labelled rows of four numbers
+    fit = seen.join(train, "doc_id").select("best", "total", "covered", "toxic").toPandas()  # at most max_labelled rows of four numbers
     weights = model.weights
     if fit.toxic.nunique() > 1:
-        x = np.column_stack(_features(fit.best.to_numpy(), fit.total.to_numpy(), fit.hits.to_numpy(), np))
+        x = np.column_stack(_features(fit.best.to_numpy(), fit.total.to_numpy(), fit.covered.to_numpy(), np.log1p))
         weights = tuple(map(float, _logistic(x, (fit.toxic == 1).to_numpy(float))))
     scored = written(segments(model, docs))
     z = F.lit(weights[0])
-    for w, f in zip(weights[1:], _features(F.col("best"), F.col("total"), F.col("hits")), strict=True):
+    for w, f in zip(weights[1:], _features(F.col("best"), F.col("total"), F.col("covered")), strict=True):
         z = z + F.lit(w) * f
     score = 1 / (1 + F.exp(-z))
     return scored.select("doc_id", held_out().alias("held_out"), score.alias("score"), F.when(score >= 0.5, 1).otherwise(0).alias("predicted"), "n_tokens", "passages")

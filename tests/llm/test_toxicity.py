@@ -3,8 +3,9 @@ import random
 
 import pytest
 from helpers import SF, awkward, empty
+from pyspark.sql import functions as F
 
-from millrace.llm.toxicity import Lexicon, maximal_segments, toxicity
+from millrace.llm.toxicity import Lexicon, maximal_segments, tokens, toxicity
 
 
 def brute_maximal(scores):
@@ -81,3 +82,24 @@ def test_awkward_rows(spark):
 def test_on_the_tables(spark):
     got = toxicity(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
     assert got.count() == 200 and got.where("held_out").count() > 20
+
+
+def test_score_is_a_function_of_the_passages(spark):
+    """Documents with the same passages and length score alike, whatever else stands in them; those without any all do."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    scored = toxicity(docs, labels)
+    found = scored.where("size(passages) > 0").groupBy("n_tokens", F.to_json("passages")).agg(F.countDistinct("score").alias("k"))
+    assert found.where("k > 1").count() == 0
+    assert scored.where("size(passages) = 0").select("score").distinct().count() == 1
+    # a text that swaps every token outside its passages for filler keeps its score
+    best = scored.where("size(passages) > 0").orderBy(F.desc("score"), "doc_id").limit(3).collect()
+    texts = {r.doc_id: r.text for r in docs.join(spark.createDataFrame([(r.doc_id,) for r in best], "doc_id long"), "doc_id").collect()}
+    swapped = []
+    for r in best:
+        inside = {i for p in r.passages for i in range(p.start, p.end)}
+        swapped.append((10**9 + r.doc_id, " ".join(t if i in inside else "zq" for i, t in enumerate(tokens(texts[r.doc_id])))))
+    again = toxicity(docs.select("doc_id", "text").union(spark.createDataFrame(swapped, "doc_id long, text string")), labels)
+    got = {r.doc_id: r for r in again.collect()}
+    for r in best:
+        a, b = got[r.doc_id], got[10**9 + r.doc_id]
+        assert a.passages == b.passages and a.score == b.score
