@@ -263,8 +263,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null or wordless texts have an empty set and stay alone. Rows that repeat an id count as
     one document that has each of the texts, and is linked by each of them. A row with a null id is linked with nothing,
-    has a null component and is kept. An empty table gives an empty result.
+    has a null component and is kept. An empty table gives an empty result. ``percent`` is 80 to 100: the
+    bands would miss links below that.
     """
+    if not 80 <= percent <= 100:
+        raise ValueError(f"percent is {percent}, not 80 to 100")
     docs = two_columns(docs, id_col, text_col)
     run, schema = _signatures(k, percent)
     sig = written(docs.mapInArrow(run, schema))

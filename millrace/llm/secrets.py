@@ -40,7 +40,7 @@ KINDS = ("assign", "access", "hex", "novel")
 #: A name; what stands between it and its token (an assignment with or without a type, or blanks); a token.
 _NAME = re.compile(r"[A-Za-z0-9_.-]+")
 _BETWEEN = re.compile(r"[\"'`]?+\]?+(?:[ \t]*+(?::[ \t]*+[A-Za-z_][A-Za-z0-9_.\[\]]*+[ \t]*+=|=>|:=|[:=])|[ \t])[ \t]*+[\"'`]?+")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=~!@#$%^&*.-]{16,}+")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=~!@#$%^&*.-]{12,}+")
 #: Where a name in camel case has its next word.
 _HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])")
 #: The password of a connection string.
@@ -70,6 +70,8 @@ CONTEXT = 256
 DICTIONARY_WORDS, MIN_FOLLOWED = 4_000, 20
 #: Compressed bytes that a token must add for each of its own, and in all, to be reported.
 MIN_RATIO, MIN_BYTES = 0.85, 11
+#: Characters of the shortest token: shorter ones cost fewer bytes than MIN_BYTES however random they are.
+MIN_TOKEN = 12
 
 
 def identifiers(texts: DataFrame, size: int = DICTIONARY_WORDS) -> str:
@@ -121,6 +123,10 @@ def _sensitive(name: str) -> bool:
     return bool(_SENSITIVE.search(name) or _SENSITIVE.search(_HUMP.sub("_", name)))
 
 
+def _mixed(token: str) -> bool:
+    return bool(re.search("[0-9]", token)) + bool(re.search("[a-z]", token)) + bool(re.search("[A-Z]", token)) >= 2
+
+
 def novel_spans(text: str, known: list[tuple[str, int, int]], words: str = "") -> list[tuple[str, int, int]]:
     """Incompressible tokens in a sensitive context that no known span overlaps."""
     low = text.lower()
@@ -132,8 +138,6 @@ def novel_spans(text: str, known: list[tuple[str, int, int]], words: str = "") -
 
     def judged(a: int, token: str) -> bool:
         b = a + len(token)
-        if bool(re.search("[0-9]", token)) + bool(re.search("[a-z]", token)) + bool(re.search("[A-Z]", token)) < 2:
-            return False
         i = bisect_left(taken, (b,))  # known spans that begin before the token's end
         if i and ends[i - 1] > a:
             return False
@@ -157,7 +161,8 @@ def novel_spans(text: str, known: list[tuple[str, int, int]], words: str = "") -
             continue
         t = _TOKEN.match(text, between.end())
         token = t[0].rstrip(".!?&%#*$,") if t else ""  # sentence and mark-up ends are not part of it
-        if len(token) >= 16 and judged(t.start(), token):
+        # after blanks alone, as in prose, a word of one kind of characters is the next word, not what the name holds
+        if len(token) >= MIN_TOKEN and (between[0].strip() or _mixed(token)) and judged(t.start(), token):
             reached = t.start() + len(token)
     return sorted(out, key=lambda s: s[1])
 

@@ -19,10 +19,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..stores import open_store
 from ..workspace import shared_folder
 from .shared import joined, written
 
@@ -34,10 +34,6 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
 
-def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri)
-
-
 def record_id(page_id: int | None, digest: str, nth: int = 1) -> str:
     """A name of its own for each record: page, payload, and a number if both repeat. A page
     without an id is nobody's reference, and gets a random one."""
@@ -58,7 +54,7 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
 
 def _write(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _fs(folder)
+        fs, base = open_store(folder)
         fs.create_dir(base, recursive=True)
         name, out, packer, size, made = "", None, None, 0, []
 
@@ -105,19 +101,22 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 def inflated(stream, where: str) -> Iterator[bytes]:
     """The bytes of a gzip file, one member or many, in chunks of at most CHUNK bytes however
-    well they are packed."""
+    well they are packed. Zeros after a member, with which crawlers fill up files, are no member."""
     unpack = zlib.decompressobj(31)
     fed = False
-    while data := stream.read(CHUNK):
-        while data:
-            fed = True
-            yield unpack.decompress(data, CHUNK)
-            data = unpack.unconsumed_tail
-            if unpack.eof:
-                data, unpack, fed = unpack.unused_data, zlib.decompressobj(31), False
-    while fed and (chunk := unpack.decompress(b"", CHUNK)):  # what a full chunk left inside
-        yield chunk
-        fed = not unpack.eof
+    try:
+        while data := stream.read(CHUNK):
+            while data if fed else (data := data.lstrip(b"\0")):
+                fed = True
+                yield unpack.decompress(data, CHUNK)
+                data = unpack.unconsumed_tail
+                if unpack.eof:
+                    data, unpack, fed = unpack.unused_data, zlib.decompressobj(31), False
+        while fed and (chunk := unpack.decompress(b"", CHUNK)):  # what a full chunk left inside
+            yield chunk
+            fed = not unpack.eof
+    except zlib.error as e:
+        raise ValueError(f"{where} is no gzip file: {e}") from e
     if fed:
         raise ValueError(f"{where} ends inside a gzip member")
 
@@ -154,12 +153,12 @@ def records(chunks: Iterator[bytes], where: str) -> Iterator[tuple[dict[str, str
 
 def _normalise(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out_fs, base = _fs(folder)
+        out_fs, base = open_store(folder)
         out_fs.create_dir(base, recursive=True)
         for batch in batches:
             rows = []
             for archive in batch.column("archive").to_pylist():
-                fs, path = _fs(archive)
+                fs, path = open_store(archive)
                 name, offset, n = uuid.uuid4().hex, 0, 0
                 with fs.open_input_stream(path, compression=None) as src, out_fs.open_output_stream(f"{base}/{name}.warc.gz", compression=None) as out, out_fs.open_output_stream(f"{base}/{name}.idx.jsonl", compression=None) as index:
                     for headers, record in records(inflated(src, archive), archive):
@@ -199,7 +198,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for archive, index in zip(batch.column("archive").to_pylist(), batch.column("index").to_pylist(), strict=True):
-            (fs, path), (index_fs, index_path) = _fs(archive), _fs(index)
+            (fs, path), (index_fs, index_path) = open_store(archive), open_store(index)
             rows, size = [], 0
             with fs.open_input_file(path) as file, index_fs.open_input_file(index_path) as lines:
                 for line in lines.read().splitlines():

@@ -1,7 +1,7 @@
 import corpus_pipeline
 from helpers import SF, documents
 from test_free_ops import check_packing
-from test_native_ops import brute_lines
+from test_line_runs import brute_runs
 from test_near_dup import brute
 
 from millrace.llm.mixing import mix
@@ -20,7 +20,7 @@ def test_each_stage_against_a_plain_version(spark):
     assert {r.doc_id: r.text for r in docs.collect()} == rows
 
     before, docs = rows, written(stages["line_dedup"](spark, docs, SF))
-    rows = {d: t for d, t in brute_lines(list(before.items())).items() if t.split() or t == before[d]}
+    rows = {d: t for d, t in brute_runs(list(before.items())).items() if t.split() or t == before[d]}
     assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {d: (t, len(t)) for d, t in rows.items()}
 
     docs = written(stages["near_dedup"](spark, docs, SF))

@@ -5,6 +5,8 @@ import pytest
 from helpers import AWKWARD, SF, awkward, documents, empty
 from pyspark.sql import functions as F
 
+from millrace.llm.shared import written
+
 STAGES = dict(corpus_pipeline.STAGES)
 
 
@@ -41,3 +43,17 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = documents(spark).limit(30)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns, name
+
+
+def test_toxic_rows_without_an_id_go(spark):
+    """A toxic text goes whether its row has an id or not; what stands beside it stays."""
+    sf = "/root/testdata/sf0.01"  # the smallest tables have too few labels
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = written(STAGES["toxicity"](spark, docs, sf))
+    gone = docs.join(kept, "doc_id", "left_anti").limit(3)
+    stay = kept.limit(3)
+    assert gone.count() == 3
+    nameless = gone.union(stay).withColumn("doc_id", F.lit(None).cast("long"))
+    got = STAGES["toxicity"](spark, docs.union(nameless), sf)
+    assert sorted(r.text for r in got.where("doc_id is null").collect()) == sorted(r.text for r in stay.collect())
+    assert got.where("doc_id is not null").count() == kept.count()

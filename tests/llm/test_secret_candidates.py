@@ -51,3 +51,10 @@ def test_long_runs_end():
     for t in ("key=" * 8000, "a=" * 20000, "://" * 20000, "://a:" * 10000, "key " + "x" * 50000):
         found(t)
     assert time.time() - began < 60
+
+
+@pytest.mark.parametrize("token", ["QQZXPLMNVTRKXBNWPWPF", "qqzxplmnvtrkxbnwpwpf", "q8Zx2Lm9Vt4Rk7B", "830172649501827", "Zq8vXt2Lm9Wr"])
+def test_the_measure_alone_judges_assigned_tokens(token):
+    """One kind of characters, or as few as twelve of them, are no reason to look away."""
+    assert found(f"client_credential = {token}") == [token] and found(f"signingKey: '{token}'") == [token]
+    assert found("client_credential = application_json") == [] and found("session representations") == []

@@ -4,6 +4,7 @@ import gzip
 import io
 import tracemalloc
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import warc
@@ -45,3 +46,12 @@ def test_record_ids_are_unique(spark):
                 targets += [headers["warc-refers-to"]] if "warc-refers-to" in headers else []
     assert len(ids) == len(set(ids)) == 7 and len(targets) == 2 and set(targets) <= set(ids)
     assert warc.read_archives(normal).where(F.col("record_type") == "revisit").count() == 2
+
+
+def test_padding_after_members():
+    """Zeros between and after members, also over the bounds of what is read at once."""
+    one, two = gzip.compress(b"first " * 1000), gzip.compress(b"second")
+    for pad in (1, 511, 3 << 20):
+        assert b"".join(warc.inflated(io.BytesIO(one + bytes(pad) + two + bytes(pad)), "f")) == b"first " * 1000 + b"second"
+    with pytest.raises(ValueError, match="a.gz is no gzip file"):
+        list(warc.inflated(io.BytesIO(one + b"\0\0rubbish that is no member"), "a.gz"))
