@@ -23,15 +23,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model calls toxic go. Rows that repeat an id go if one of them does."""
-    rejected = toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
+    """Documents that the model calls toxic go. Rows that repeat an id go if one of them does; rows
+    without an id are judged each for itself."""
+    named = docs.where("doc_id is not null")
+    # numbers of their own, far from all ids, in a table so that they stay as they are
+    number = F.lit(-(1 << 63)) + F.monotonically_increasing_id()
+    unnamed = written(docs.where("doc_id is null").withColumn("toxicity_row", number))
+    every = named.select("doc_id", "text").union(unnamed.select("toxicity_row", "text"))
+    rejected = toxicity(every, table(spark, sf_dir, "labels")).where("predicted = 1").select(F.col("doc_id").alias("toxicity_row")).distinct()
+    kept = unnamed.join(rejected, "toxicity_row", "left_anti").select(docs.columns)
+    return named.join(rejected, F.col("doc_id") == F.col("toxicity_row"), "left_anti").union(kept)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines are cut out of the texts. A document that had words and
     has none left was a copy in full, and goes; n_chars follows the text."""
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, whole_runs=True)
     gone = (F.col("n_deleted") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     out = out.where(F.coalesce(~gone, F.lit(True)))
     return out.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
