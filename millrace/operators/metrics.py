@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..stores import open_store
@@ -87,6 +87,20 @@ def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"length": frame["length"], "digest": out})
 
 
+def observed(tagged: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """The tagged rows, and what the first action over all of them will have counted: total, dlq,
+    null_count_<column> of the valid rows and invalid_value_count_<column>, for each column; api_calls
+    where the source tells them. No pass of its own is made."""
+    seen = Observation()
+    failed = F.col("_failure").isNotNull()
+    counts = [F.count(F.lit(1)).alias("total"), F.count_if(failed).alias("dlq")]
+    counts += [F.count_if(F.col(f"_v_{i}").isNull() & ~failed).alias(f"null_count_{c}") for i, c in enumerate(columns)]
+    counts += [F.count_if(F.col("_failed_column") == c).alias(f"invalid_value_count_{c}") for c in columns]
+    if "_calls" in tagged.columns:
+        counts.append(F.coalesce(F.sum("_calls"), F.lit(0)).alias("api_calls"))
+    return tagged.observe(seen, *counts), seen
+
+
 @contextmanager
 def footers(spark: SparkSession) -> Iterator[None]:
     """Counts and largest values of Parquet files, asked for in here, are answered by their footers

@@ -155,6 +155,8 @@ def validate(df: DataFrame, schema: Schema, rules: Sequence[Rule] = (), sensitiv
     malformed = corrupt in df.columns and corrupt not in names
     if malformed:
         extra.append(F.col(f"`{corrupt}`").cast("string").alias("_record"))
+    if "_api_calls" in df.columns and "_api_calls" not in names:
+        extra.append(F.col("_api_calls").cast("bigint").alias("_calls"))
     raw = {f.name: (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast("string") for f in schema.fields}
     # plain columns: the optimizer would put a struct's fields back in wherever they are used
     texts = df.select(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.incremental import Mark, next_mark, next_offset
-from ..operators.metrics import footers, move_rejects, origin_metrics, output_stats, throughput
+from ..operators.metrics import footers, move_rejects, observed, origin_metrics, output_stats, throughput
 from ..operators.quality import GateError, Gates, duplicates
 from ..operators.validate import Rule, Run, validate
 from ..schema import Schema
@@ -63,7 +63,8 @@ def _refused(rows: DataFrame, run: Run) -> DataFrame:
 def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule] = (), gates: Gates = Gates(), unique: Sequence[str] = (), sensitive: Sequence[str] = (), run: Run | None = None, schema_id: str = "", mark: Mark | None = None, offset: int | None = None, trim: bool = True, compression: str = "snappy", single_file: bool = False, custom: Mapping[str, Column] | None = None, sink: Sink | None = None, checksum: bool = True) -> Report:
     """Validate ``source`` and publish it below ``out``: data/, quarantine/dead_letters, quarantine/audit, metrics/.
 
-    One tagged frame, persisted, feeds all outputs. The source's rows are counted in the scan that
+    One tagged frame, persisted, feeds all outputs; the scan that fills it counts its rows, failures,
+    nulls and API calls by the way. The source's rows are counted in the scan that
     feeds it, before validation. Files are written aside, counted, and renamed to data/ only if
     every row read was either written or quarantined; rows of a table are staged and committed under
     the run's execution id likewise, so a run that is started again adds nothing. A gate that does not
@@ -76,16 +77,18 @@ def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule
     began, run = time.monotonic(), run or Run()
     sink = sink or Sink("parquet", {"compression": compression, "single_file": single_file})
     spark, seen = source.sparkSession, Observation()
-    checked = validate(source.observe(seen, F.count(F.lit(1)).alias("rows")), schema, rules, sensitive, run, schema_id, trim).persist()
+    checked = validate(source.observe(seen, F.count(F.lit(1)).alias("rows")), schema, rules, sensitive, run, schema_id, trim)
+    checked.tagged, tallies = observed(checked.tagged, schema.names)
+    checked.persist()
 
     def stop(reasons: list[str]) -> None:
         if reasons:
             raise GateError("; ".join(reasons))
 
     try:
-        counts = checked.tagged.agg(F.count("*").alias("total"), F.count_if(F.col("_failure").isNotNull()).alias("dlq"), *(F.count_if(F.col(f"_v_{i}").isNull() & F.col("_failure").isNull()).alias(f"n{i}") for i, n in enumerate(schema.names)), *(F.count_if(F.col("_failed_column") == n).alias(f"i{i}") for i, n in enumerate(schema.names))).first()
-        total, dlq, read = counts["total"], counts["dlq"], seen.get["rows"]
         write_quarantine(checked.dlq, f"{out}/quarantine")
+        counts, read = tallies.get, seen.get["rows"]
+        total, dlq = counts["total"], counts["dlq"]
         write_audit(checked.audit, f"{out}/quarantine")
         reasons = gates.broken(read, total - dlq, dlq)
         if read != total:
@@ -125,8 +128,9 @@ def run_ingest(source: DataFrame, schema: Schema, out: str, rules: Sequence[Rule
             move(spark, aside, f"{out}/data")
             remove(spark, f"{out}/_aside")
         by_origin = {r["origin"]: {"total_read": r["total_read"], "valid": r["valid"], "dlq": r["dlq"]} for r in origins.collect()}
-        nulls = {f"null_count_{n}": counts[f"n{i}"] for i, n in enumerate(schema.names)}
-        invalid = {f"invalid_value_count_{n}": counts[f"i{i}"] for i, n in enumerate(schema.names)}
+        nulls, invalid = ({k: counts[k] for k in (f"{what}_{n}" for n in schema.names)} for what in ("null_count", "invalid_value_count"))
+        if "api_calls" in counts:
+            stats |= {"api_calls": counts["api_calls"]}
         own = checked.valid.agg(*(c.alias(n) for n, c in custom.items())).first().asDict() if custom else {}
         report = Report(read, stats["rows"], dlq, by_origin, stats | throughput(read, stats["bytes"], time.monotonic() - began), watermark, nulls, invalid, own)
         write_run_file(spark, f"{out}/metrics/run", {"pipeline_id": run.pipeline_id, "run_id": run.execution_id, "total_records_read": read, "rows_written": stats["rows"], "dead_letter_count": dlq, "origin_metrics": by_origin, "watermark": watermark, **stats, **nulls, **invalid, "custom": own})

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import casts
@@ -26,7 +26,7 @@ from .schema import Field, Schema, conform, incompatibilities, union_evolved
 from .sinks.files import write_delimited, write_json_lines, write_parquet
 from .sinks.table import commit_table, stage_table, write_table
 from .sources.documents import extract_records, flatten, json_path, to_record
-from .sources.files import read_delimited, read_json
+from .sources.files import read_delimited, read_json, split_reads
 from .sources.jdbc import literal
 from .sources.page_store import PageServer, write_pages
 from .sources.rest import RestPages
@@ -317,6 +317,17 @@ def lost_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.lost_rows(orders, [orders.where("id % 10 < 3"), orders.where("id % 10 > 3")], "id")
 
 
+@query(_ORDERS_SQL + "SELECT count(*) AS total, count(*) FILTER (failed IS NOT NULL) AS dlq, count(*) FILTER (failed IS NULL AND prio IS NULL) AS null_prio, count(*) FILTER (failed = 'id') AS invalid_id, count(*) FILTER (failed = 'ts') AS invalid_ts, count(*) FILTER (failed IS NULL) AS written FROM v")
+def metrics_while_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a run that no query asks for: they are observed while its rows are written."""
+    tagged, seen = metrics.observed(_orders(spark, sf_dir).tagged, ORDERS.names)
+    written, path = Observation(), shared_folder(spark)
+    tagged.where("_failure IS NULL").select("_v_0").observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    got = seen.get
+    row = {"total": got["total"], "dlq": got["dlq"], "null_prio": got["null_count_prio"], "invalid_id": got["invalid_value_count_id"], "invalid_ts": got["invalid_value_count_ts"], "written": written.get["n"]}
+    return spark.range(1).select(*(F.lit(v).alias(k) for k, v in row.items()))
+
+
 @query(_ORDERS_SQL + "SELECT 'null_count_' || c AS metric, n FROM (SELECT unnest(['id','cust','price','ts','status','prio']) AS c, unnest([0, 0, 0, 0, 0, (SELECT count(*) FROM v WHERE failed IS NULL AND prio IS NULL)]) AS n)")
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.null_counts(_orders(spark, sf_dir).valid, ORDERS.names)
@@ -662,6 +673,20 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _back(read_delimited(spark, [path], _ROUND))
 
 
+@query(_RECORDS_SQL)
+def csv_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files in some 64 splits, whose bounds fall inside rows and characters: no row is lost or doubled."""
+    path, kept = shared_folder(spark), shared_folder(spark)
+    write_delimited(_records(spark, sf_dir).repartition(2), path)
+    total = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    with split_reads(spark, total // 64 + 1):
+        rows = _back(read_delimited(spark, [path], _ROUND))
+        if rows.rdd.getNumPartitions() < 60:
+            raise AssertionError("the files were not split")
+        rows.write.parquet(kept)
+    return spark.read.parquet(kept)
+
+
 @query(_RECORDS_SQL)
 def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)

@@ -7,16 +7,19 @@ Globs, path lists, splits and codecs (by extension: gzip, bzip2, zstandard) are
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import BLANK, clean
 from ..schema import Schema
+from ..stores import open_store
 
 #: The first bytes of the framed snappy format, which Spark's readers cannot take (fixed value).
 SNAPPY_MAGIC = bytes.fromhex("ff060000734e61507059")
@@ -78,6 +81,64 @@ def _each(files: Sequence[str], f) -> list:
         return list(pool.map(f, files))
 
 
+#: Files whose first lines the driver reads itself; more are dealt to tasks.
+FEW_FILES = 64
+#: Bytes of a file's beginning that tasks look for its first line in.
+HEAD = 1 << 16
+
+
+def _task_heads(charset: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for path in frame["path"]:
+                line, told = None, False
+                try:
+                    fs, name = open_store(path)
+                    codec = {"gz": "gzip", "bz2": "bz2", "zst": "zstd"}.get(path.rpartition(".")[2].lower())
+                    with fs.open_input_stream(name, compression=codec) as stream:
+                        head = stream.read(HEAD)
+                    lines = [x for x in head.decode(charset, "replace").split("\n") if x.strip("\ufeff" + BLANK)]
+                    # a head without a line end may have been cut short
+                    told = len(head) < HEAD or len(lines) > 1
+                    line = lines[0].removeprefix("\ufeff") if lines else None
+                except Exception:  # a store or codec that only the JVM knows: the driver looks
+                    told = False
+                rows.append((path, line, told))
+            yield pd.DataFrame(rows, columns=["path", "line", "told"])
+
+    return run
+
+
+def first_lines(spark: SparkSession, files: Sequence[str], charset: str) -> list[str | None]:
+    """The first line of each file that is not blank, None where there is none."""
+    found: dict[str, str | None] = {}
+    if len(files) > FEW_FILES:
+        tasks = min(len(files) // 16, 4 * spark.sparkContext.defaultParallelism)
+        rows = spark.createDataFrame([(f,) for f in files], "path string").repartition(tasks).mapInPandas(_task_heads(charset), "path string, line string, told boolean")
+        found = {r["path"]: r["line"] for r in rows.where("told").collect()}  # a line per file
+    heads, left = _Heads(spark), [f for f in files if f not in found]
+    found |= zip(left, _each(left, lambda f: heads.first_line(f, charset)), strict=True)
+    return [found[f] for f in files]
+
+
+@contextmanager
+def split_reads(spark: SparkSession, split_bytes: int) -> Iterator[None]:
+    """Files that are read in here, by the actions too, are cut into splits of so many bytes if their codec allows it."""
+    wanted = {"spark.sql.files.maxPartitionBytes": str(split_bytes), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def refuse_framed_snappy(spark: SparkSession, paths: Sequence[str]) -> None:
     """Raise before a task would run out of memory on a framed snappy file."""
     named = [p for p in paths if p.lower().endswith((".sz", ".snappy"))]
@@ -95,7 +156,7 @@ def files_with_header(spark: SparkSession, paths: Sequence[str], name: str, sep:
     heads = _Heads(spark)
     first = lambda line: next(csv.reader([line], delimiter=sep), [""])[:1] or [""]
     found: tuple[list[str], list[str]] = ([], [])
-    for file, line in zip(files, _each(files, lambda f: heads.first_line(f, charset)), strict=True):
+    for file, line in zip(files, first_lines(spark, files, charset), strict=True):
         if line is not None:
             found[first(line)[0].strip(BLANK).lower() != name.lower()].append(heads._path(file).toString())
     return found

@@ -44,3 +44,36 @@ def test_stream(spark, tmp_path):
     for _ in range(2):
         ingest_new_files(spark, str(tmp_path / "in"), TWO, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert got(published_rows(spark, str(tmp_path / "out"))) == [("1", "a"), ("2", "c"), ("4", "d"), ("id", "b")]
+
+
+def test_many_files_are_looked_at_by_tasks(spark, tmp_path, monkeypatch):
+    """Nothing is opened by the driver: with a header, without, empty, packed, and after blank lines."""
+    import bz2
+    import gzip
+
+    from millrace.sources import files
+
+    want = []
+    for i in range(120):
+        text = ["id,x\n%d,a\n", "%d,b\n", "\n\n\ufeff ID ,x\n%d,c\n"][i % 3] % i
+        kind = i % 4
+        data = text.encode()
+        (tmp_path / f"f{i}.csv{['', '.gz', '.bz2', ''][kind]}").write_bytes(gzip.compress(data) if kind == 1 else bz2.compress(data) if kind == 2 else data)
+        want.append(str(i))
+    (tmp_path / "empty.csv").write_bytes(b"")
+
+    def opened(self, uri, charset):
+        raise AssertionError(f"the driver opened {uri}")
+
+    monkeypatch.setattr(files._Heads, "first_line", opened)
+    got = files.read_delimited(spark, [str(tmp_path)], Schema.of(Field("id"), Field("x")))
+    assert sorted(r.id for r in got.collect()) == sorted(want)
+
+
+def test_lines_beyond_what_tasks_read_are_left_to_the_driver(spark, tmp_path):
+    from millrace.sources.files import first_lines
+
+    for i in range(80):
+        (tmp_path / f"f{i}").write_text("x" * 100_000 + "\n" if i == 7 else f"line {i}\nmore")
+    names = [f"file://{tmp_path}/f{i}" for i in range(80)]
+    assert first_lines(spark, names, "UTF-8") == ["x" * 100_000 if i == 7 else f"line {i}" for i in range(80)]
