@@ -244,7 +244,8 @@ def prove(m: Manifest, requests: DataFrame, shown: str = "digest") -> DataFrame:
     with the digest that the holder of the row shows: folded_root is what it folds to with the
     proof, and verified says whether that is the root.
     """
-    top = m.subroots.where("rank = 0").select("tree", "size", F.lit(m.root).cast("binary").alias("digest"), F.array().cast(_PATH_SQL).alias("path"))
+    # one row, in a table, as a join on a literal would be none on a key
+    top = written(m.subroots.where("rank = 0").select("tree", "size", F.lit(m.root).cast("binary").alias("digest"), F.array().cast(_PATH_SQL).alias("path")))
     at = paths(m.top_pages, top, m.subroots).select("rank", "path")
     starts = m.subroots.join(at, "rank").select(F.col("source_tree").alias("tree"), F.col("leaves").alias("size"), "digest", "path")
     asks = requests.groupBy("tree", F.floor(F.col("rank") / PAGE).alias("page")).agg(F.collect_list(F.struct((F.col("rank") % PAGE).alias("place"), "doc_id", F.col(shown).alias("shown"))).alias("asks"))
