@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .alignment import align
 from .attention import quality
 from .audio import excerpt, identify, sonify
+from .base_sql import PII_SQL, SECRETS_SQL, VERSIONS_SQL
 from .fingerprints import fingerprint_versions
 from .line_dedup import LINES_SQL, dedup_lines
 from .manifest import MANIFEST_SQL, audit
@@ -90,6 +91,21 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"))
 
 
+def op2_invertible_fingerprints_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op2 that SQL can express: likeness comes from peeled sketches here, from the paragraphs there."""
+    return op2_invertible_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256", "near_edited", "near_next")
+
+
+def op4_secret_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op4 that its fixed patterns alone decide."""
+    return op4_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def op5_bootstrapped_pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5 that its fixed patterns alone decide."""
+    return op5_bootstrapped_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,7 +122,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op11_tokenizer_alignment,
         op12_attention_quality,
         op13_merkle_manifest,
+        op2_invertible_fingerprints_base,
+        op4_secret_scan_base,
+        op5_bootstrapped_pii_base,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op6_weighted_fair_mixing": MIX_SQL, "op7_minhash_near_dup": NEAR_SQL, "op8_warc_normaliser": ROUND_TRIP_SQL, "op13_merkle_manifest": MANIFEST_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": LINES_SQL,
+    "op6_weighted_fair_mixing": MIX_SQL,
+    "op7_minhash_near_dup": NEAR_SQL,
+    "op8_warc_normaliser": ROUND_TRIP_SQL,
+    "op13_merkle_manifest": MANIFEST_SQL,
+    "op2_invertible_fingerprints_base": VERSIONS_SQL,
+    "op4_secret_scan_base": SECRETS_SQL,
+    "op5_bootstrapped_pii_base": PII_SQL,
+}
