@@ -7,7 +7,7 @@ import re
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,27 @@ class Mark:
         return (a > b) - (a < b)
 
 
+#: What the values of a mark are read as; a text stays one.
+_TYPES = {"integer": "bigint", "float": "double", "date": "date", "string": "string"}
+
+
+def compared(values: Column, mark: Mark) -> Column:
+    """-1, 0 or 1 for each text of a mark's kind, older, equal or newer than ``mark``; null for null.
+
+    Times are compared by instant; those without a zone are UTC, as in marks.
+    """
+    if mark.value is None:
+        raise ValueError("the mark has no value yet")
+    if mark.kind == "timestamp":
+        t = F.trim(values)
+        day, zoned = t.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), t.rlike("(?:Z|[+-][0-9]{2}:?[0-9]{2})$")
+        x = F.unix_micros(F.when(day, F.concat(t, F.lit("T00:00:00Z"))).when(zoned, t).otherwise(F.concat(t, F.lit("Z"))).cast("timestamp"))
+        y = F.unix_micros(F.lit(mark.canonical()).cast("timestamp"))
+    else:
+        x, y = values.cast(_TYPES[mark.kind]), F.lit(mark.canonical()).cast(_TYPES[mark.kind])
+    return F.when(x > y, 1).when(x < y, -1).when(x == y, 0)
+
+
 def newer(df: DataFrame, mark: Mark) -> DataFrame:
     """Rows strictly beyond the mark; all rows if there is none yet. A typed literal, so it is pushed into the scan."""
     v = mark.value

@@ -22,9 +22,12 @@ def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def dedup(df: DataFrame, keys: Sequence[str], keep_first_by: Sequence[Column | str]) -> DataFrame:
-    """One row per key, the first by the given order. Reduced to a minimum per key before the
-    shuffle, so that a key with very many rows is no hot spot."""
+    """One row per key, the first by the given order, of rows that tie there the one whose content
+    has the smallest hash (columns of maps aside), so that reruns agree. Reduced to a minimum per
+    key before the shuffle, so that a key with very many rows is no hot spot."""
     order = [F.col(c) if isinstance(c, str) else c for c in keep_first_by]
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    order.append(F.xxhash64(*plain) if plain else F.lit(0))
     rest = F.struct(*(F.col(f"`{c}`") for c in df.columns))
     first = df.groupBy(*(F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min_by(rest, F.struct(*order)).alias("_row"))
     return first.select("_row.*")

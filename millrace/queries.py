@@ -548,13 +548,8 @@ def mark_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = events.where(F.col("event_id") == middle).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first()["t"]
     at = incremental.Mark("ts", "timestamp", one)
 
-    def compared(frames):
-        for frame in frames:
-            east = [incremental.Mark("ts", "timestamp", t).compare(at) for t in frame["t"]]
-            yield frame.assign(c=east)[["c"]]
-
     text = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00"))
-    signs = events.select(text.alias("t")).mapInPandas(compared, "c int")
+    signs = events.select(incremental.compared(text, at).alias("c"))
     return signs.agg(*(F.count_if(F.col("c") == c).alias(n) for c, n in ((1, "newer"), (0, "equal"), (-1, "older"))))
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.incremental import Mark, incremental_query, newer, next_mark, next_offset
+from millrace.operators.incremental import Mark, compared, incremental_query, newer, next_mark, next_offset
 from millrace.operators.slices import Slice, assign, collect_slices, contiguous, exact_buckets, objectid_slices
 from millrace.schema import Field, Schema
 
@@ -71,3 +71,17 @@ def test_next_mark(spark):
     assert next_mark(df, Mark("at", "timestamp")).text == "2026-01-02T00:00:00.25+00:00"
     assert newer(df, Mark("at", "timestamp", "2026-01-01T00:00:00Z")).count() == 1
     assert next_offset(None, 7) == 7 and next_offset(5, 7) == 12
+
+
+def test_marks_of_a_column_compare_as_marks_do(spark):
+    cases = {
+        "integer": ("9", ["10", "-1", "9", " 9 ", None]),
+        "float": ("0.5", ["0.25", "1e3", "0.50", None]),
+        "date": ("2026-01-02", ["2026-01-01", "2026-01-02", "2026-02-01", None]),
+        "string": ("b", ["a", "b", "ba", "", None]),
+        "timestamp": ("2026-01-01T09:00:00+00:00", ["2026-01-01T10:00:00+02:00", "2026-01-01 09:00:00", "2026-01-01T09:00:00.000001Z", "2026-01-01", "2026-01-02", None]),
+    }
+    for kind, (at, texts) in cases.items():
+        mark = Mark("a", kind, at)
+        got = [r.c for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(compared(F.col("t"), mark).alias("c")).collect()]
+        assert got == [None if t is None else Mark("a", kind, t).compare(mark) for t in texts], kind

@@ -98,3 +98,9 @@ def test_dedup_and_duplicates(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (None, "z"), (None, "y"), (2, "c")], "k int, v string")
     assert sorted((r.k or 0, r.v) for r in dedup(df, ["k"], ["v"]).collect()) == [(0, "y"), (1, "a"), (2, "c")]
     assert [(r.k, r.n) for r in duplicates(df, ["k"]).collect()] == [(1, 2)]
+
+
+def test_dedup_ties_are_decided_by_content(spark):
+    rows = [(1, 0, f"v{i}") for i in range(50)]
+    kept = {dedup(spark.createDataFrame(r, "k int, o int, v string").repartition(n), ["k"], ["o"]).first().v for r, n in ((rows, 1), (rows[::-1], 1), (rows, 7))}
+    assert len(kept) == 1
