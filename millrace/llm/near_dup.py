@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import joined, two_columns, written
+from .shared import dealt, joined, two_columns, written
 from .shingles import mix, shingle_sets
 
 SAMPLES = 128
@@ -149,7 +149,7 @@ def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
+            for x, y in zip(batch.column("sx"), batch.column("sy"), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 if len(x) > len(y):
                     x, y = y, x
@@ -161,7 +161,7 @@ def _confirm(percent: int):
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run, "a binary, b binary"
+    return run, "a long, b long"
 
 
 def _close_enough(percent: int):
@@ -182,7 +182,8 @@ def _close_enough(percent: int):
 
 def _open_pairs(percent: int):
     """Pairs of different components within each block pair of a band key, by their sketches:
-    a member outside the largest component (side 0) with a member of any (side 1).
+    a member outside the largest component (side 0) with a member of any (side 1). A set is
+    named by its digest and its smallest id.
 
     The rows come sorted by block pair. Most of these have a few rows, so they are cut out of
     the batch as array slices; the last one of a batch waits for the next batch.
@@ -192,7 +193,7 @@ def _open_pairs(percent: int):
     def matrix(column: pa.Array) -> np.ndarray:
         return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), -1)
 
-    def group(r: dict[str, np.ndarray], a: int, b: int, out: list[np.ndarray]) -> None:
+    def group(r: dict[str, np.ndarray], a: int, b: int, out: list[tuple]) -> None:
         rows = np.arange(a, b)
         left, right = rows[r["side"][a:b] == 0], rows[r["side"][a:b] == 1]
         if not len(left) or not len(right):
@@ -206,25 +207,25 @@ def _open_pairs(percent: int):
                 d = np.bitwise_count(r["bitmap"][right[at]] ^ r["bitmap"][i]).sum(axis=1, dtype=np.int64)
                 hit = right[at[d * (100 + percent) <= (size[at] + r["size"][i]) * (100 - percent)]]
                 if len(hit):
-                    out.append(np.stack([np.full(len(hit), r["set_id"][i]), r["set_id"][hit]], axis=1))
+                    out.append((r["set_id"][i], r["rep"][i], r["set_id"][hit], r["rep"][hit]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
 
-        def found(out: list[np.ndarray]) -> pa.RecordBatch:
-            pairs = {(min(p), max(p)) for rows in out for p in rows.tolist()}
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+        def found(out: list[tuple]) -> pa.RecordBatch:
+            pairs = {(min(p), max(p)) for x, a, ys, bs in out for p in (((x, a), (y, b)) for y, b in zip(ys, bs, strict=True))}
+            return pa.RecordBatch.from_arrays([pa.array([p[i][j] for p in pairs], t) for j, t in ((0, pa.binary()), (1, pa.int64())) for i in (0, 1)], ["x", "y", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "x", "y", "side", "set_id", "component", "size")}
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "x", "y", "side", "set_id", "rep", "component", "size")}
             rows |= {c: matrix(batch.column(c)) for c in ("sketch", "bitmap")}
             if held:
                 rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
             new = np.flatnonzero((np.diff(rows["key"]) != 0) | (np.diff(rows["x"]) != 0) | (np.diff(rows["y"]) != 0)) + 1
             cuts = [0, *new.tolist()]
-            out: list[np.ndarray] = []
+            out: list[tuple] = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 group(rows, a, b, out)
             held = {c: v[cuts[-1] :] for c, v in rows.items()}
@@ -234,23 +235,20 @@ def _open_pairs(percent: int):
             group(held, 0, len(held["key"]), out)
             yield found(out)
 
-    return run, "a binary, b binary"
+    return run, "x binary, y binary, a long, b long"
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set digests whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    ids = wanted.join(reps.select("set_id", F.col("rep").alias("doc_id")), "set_id").select("doc_id").distinct()
+def _links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b) of a table (x, y, a, b) of pairs of sets and their smallest ids: those whose full sets
+    are similar enough. The pairs of a set that has very many meet copies of it."""
+    wanted = pairs.select(F.col("x").alias("set_id"), F.col("a").alias("doc_id")).union(pairs.select("y", "b")).distinct()
     run, schema = _sets(k)
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(run, schema).join(wanted, "set_id", "left_semi")
+    sets = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(run, schema).join(wanted.select("set_id"), "set_id", "left_semi")
     sets = written(sets.groupBy("set_id").agg(F.any_value("shingles").alias("shingles")))
     run, schema = _confirm(percent)
-    return (
-        pairs.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb")), "b")
-        .select("a", "b", "sa", "sb")
-        .mapInArrow(run, schema)
-    )
+    rows = dealt(pairs, sets.select(F.col("set_id").alias("y"), F.col("shingles").alias("sy")), "y", "x", pairs)
+    rows = dealt(rows, sets.select(F.col("set_id").alias("x"), F.col("shingles").alias("sx")), "x", "y", pairs)
+    return rows.select("a", "b", "sx", "sy").mapInArrow(run, schema)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 85) -> DataFrame:
@@ -277,52 +275,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = classes.select("set_id", F.col("rep").alias("doc_id"))
     reps = full.join(first, ["set_id", "doc_id"]).dropDuplicates(["set_id", "doc_id"])
     reps = written(reps.select("set_id", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), "bands", "sketch", "bitmap"))
-    sketches = reps.select("set_id", "size", "sketch", "bitmap")
+    sketches = reps.select("set_id", "rep", "size", "sketch", "bitmap")
     id_of = reps.select("set_id", "rep")
 
     keys = reps.select("set_id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     keys = written(joined(keys, shared, ["key"]).select("key", "set_id", "pivot"))
     close = _close_enough(percent)
-    pairs = (
-        keys.where("set_id <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
-        .distinct()
-        .join(sketches.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa"), F.col("bitmap").alias("ba"), F.col("size").alias("na")), "a")
-        .join(sketches.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb"), F.col("bitmap").alias("bb"), F.col("size").alias("nb")), "b")
-        .where(close("sa", "sb", "ba", "bb", "na", "nb"))
-        .select("a", "b")
-    )
-
-    def between_ids(links: DataFrame) -> DataFrame:
-        links = links.join(id_of.select(F.col("set_id").alias("a"), F.col("rep").alias("x")), "a")
-        return links.join(id_of.select(F.col("set_id").alias("b"), F.col("rep").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    asked = written(keys.where("set_id <> pivot").select(F.col("pivot").alias("x"), F.col("set_id").alias("y")).distinct())
+    # a set is asked about once for each band at most, a pivot by all sets of its bands
+    pairs = asked.join(sketches.toDF("y", "b", "nb", "sb", "bb"), "y")
+    pairs = dealt(pairs, sketches.toDF("x", "a", "na", "sa", "ba"), "x", "y", asked).where(close("sa", "sb", "ba", "bb", "na", "nb")).select("x", "y", "a", "b")
 
     # an id that has several texts ties their sets, by the smallest ids of these
     several = full.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo <> hi").select("doc_id")
     several = full.join(several, "doc_id").select("set_id", "doc_id").distinct().join(id_of, "set_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = written(between_ids(_links(written(pairs), reps, docs, k, percent)).union(several))
+    links = written(_links(written(pairs), docs, k, percent).union(several))
     found = components(links)
 
     def component_of(rows: DataFrame) -> DataFrame:
         return rows.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
-    tagged = written(keys.drop("pivot").join(component_of(id_of).drop("rep"), "set_id"))
+    tagged = written(keys.drop("pivot").join(component_of(id_of), "set_id"))
     counts = tagged.groupBy("key", "component").agg(F.count("*").alias("m"))
     mixed = counts.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.sum("m").alias("n"), F.max("m").alias("m"), F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
-    rows = joined(tagged, mixed, ["key"]).join(sketches, "set_id")
+    rows = joined(tagged, mixed, ["key"]).join(sketches.drop("rep"), "set_id")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     rows = rows.withColumn("strays", blocks(F.col("n") - F.col("m"))).withColumn("blocks", blocks(F.col("n")))
     own = lambda n: F.pmod(F.xxhash64("set_id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    data = ["key", "set_id", "component", "size", "sketch", "bitmap"]
-    dealt = rows.where("component <> largest").select(*data, own(F.col("strays")).alias("x"), every(F.col("blocks")).alias("y"), F.lit(0).alias("side"))
-    dealt = dealt.union(rows.select(*data, every(F.col("strays")).alias("x"), own(F.col("blocks")).alias("y"), F.lit(1).alias("side")))
+    data = ["key", "set_id", "rep", "component", "size", "sketch", "bitmap"]
+    blocked = rows.where("component <> largest").select(*data, own(F.col("strays")).alias("x"), every(F.col("blocks")).alias("y"), F.lit(0).alias("side"))
+    blocked = blocked.union(rows.select(*data, every(F.col("strays")).alias("x"), own(F.col("blocks")).alias("y"), F.lit(1).alias("side")))
     run, schema = _open_pairs(percent)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the rows are few, the work on them is not
-    more = written(dealt.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema).distinct())
+    more = written(blocked.repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema).distinct())
     if not more.isEmpty():
-        links = links.union(between_ids(_links(more, reps, docs, k, percent)))
+        links = links.union(_links(more, docs, k, percent))
         found = components(links)
     of_class = component_of(classes.select("set_id", "rep", "n")).select("set_id", "component", "n")
     named = joined(sig.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "set_id"), of_class, ["set_id"]).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
