@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import joined, written
+from .shared import dealt, joined, written
 
 RATE = 8_000
 FRAME, HOP = 1024, 128
@@ -136,7 +136,9 @@ def align(clips: DataFrame, recordings: DataFrame) -> DataFrame:
     heads = lambda df: written(df.where("id = class_id").select("class_id", "fingerprint").dropDuplicates(["class_id"]))
     clips, recordings = heads(clips), heads(recordings)
     asked = _landmarks(clips).select(F.col("class_id").alias("clip_class"), F.col("at").alias("clip_at"), "mark")
-    votes = asked.join(_landmarks(recordings), "mark").groupBy("clip_class", "class_id", (F.col("at") - F.col("clip_at")).alias("offset")).agg(F.count("*").alias("votes"))
+    marks = written(_landmarks(recordings))
+    # a landmark that very many places have is dealt to copies of its places in the clips
+    votes = dealt(marks.withColumn("place", F.xxhash64("class_id", "at")), asked, "mark", "place", marks).groupBy("clip_class", "class_id", (F.col("at") - F.col("clip_at")).alias("offset")).agg(F.count("*").alias("votes"))
     best = votes.groupBy("clip_class", "class_id").agg(F.max(F.struct("votes", (-F.abs("offset")).alias("near"), "offset")).alias("v")).select("clip_class", "class_id", "v.votes", "v.offset")
     pairs = best.join(clips.select(F.col("class_id").alias("clip_class"), F.col("fingerprint").alias("x")), "clip_class").join(recordings.select("class_id", F.col("fingerprint").alias("y")), "class_id")
     pairs = pairs.withColumn("a", F.greatest(-F.col("offset"), F.lit(0))).withColumn("b", F.greatest("offset", F.lit(0)))

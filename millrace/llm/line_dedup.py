@@ -41,11 +41,10 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per window of a table (doc, version, text): its lines (line to last), the selected
     one and its hash (position, fingerprint), whether the window is the first that selected it
     (head), its content (c1, c2), and the contents of its extensions."""
+    # rows that are alike are one document here
+    docs = docs.groupBy("doc", "version").agg(F.any_value("text").alias("text"))
     lines = docs.select("doc", "version", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
     lines = lines.select("doc", "version", "line", F.xxhash64("content").alias("h"), F.xxhash64(F.lit(1), "content").alias("g"), F.regexp_count("content", F.lit(WORD)).alias("words")).where("words > 0")
-    # rows that are alike are one document here: of each of its lines one is gone through
-    alike = Window.partitionBy("doc", "version", "line").orderBy("h")
-    lines = lines.repartition("doc", "version").withColumn("nth", F.row_number().over(alike)).where("nth = 1").drop("nth")
     along = Window.partitionBy("doc", "version").orderBy("line")
     lines = lines.withColumn("begin", F.sum("words").over(along) - F.col("words"))
     # the lines that begin within min_words words of this one's beginning
@@ -108,7 +107,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     last. A null text stays null (n_lines null, n_deleted 0), an empty one has one line. Other
     columns, whatever their names, are kept as they are. An empty table gives an empty result.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(F.col(text_col)).alias("version")
+    doc, version = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))
+    # a null id counts as the largest one, in versions that come after that id's own: its sign bit tells them apart
+    version = F.when(doc.isNull(), version.bitwiseAND((1 << 63) - 1)).otherwise(version.bitwiseOR(-(1 << 63)))
+    key = F.coalesce(doc, F.lit((1 << 63) - 1)).alias("doc"), version.alias("version")
     marked = repeated_lines(docs.where(F.col(text_col).isNotNull()).select(*key, F.col(text_col).alias("text")), min_words, whole_runs)
     marks = marked.groupBy("doc", "version").agg(F.array_sort(F.collect_set("line")).alias("marks"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), *key).join(marks, ["doc", "version"], "left")

@@ -68,19 +68,19 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
 
 
 def _pieces(path: str, size: int, end_id: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoders(path)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 ids = np.append(encode(text.as_py()), np.uint32(end_id)).astype("<u4")
-                rows += [(doc, i, a, n, zlib.crc32(ids[a : a + n])) for i, (a, n) in enumerate(cut(len(ids), size))]
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
+                rows += [(row, doc, i, a, n, zlib.crc32(ids[a : a + n])) for i, (a, n) in enumerate(cut(len(ids), size))]
+            cols = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return run, "doc_id long, piece int, start long, length long, ids_crc32 long"
+    return run, "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def place(lengths: list[int], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +126,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     empty table gives an empty result. ``tokenizer_path`` must exist on every machine.
     """
     run, schema = _pieces(tokenizer_path, size, end_id)
-    pieces = written(two_columns(docs, id_col, text_col).mapInArrow(run, schema))
+    # the number spreads rows that repeat an id and text over the shards
+    pieces = written(two_columns(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, schema))
     shards = max(1, -(-pieces.count() // shard))
     run, schema = _pack(size)
-    return pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))).groupBy("shard").applyInPandas(run, schema)
+    return pieces.withColumn("shard", F.pmod(F.xxhash64("row", "doc_id", "piece", "ids_crc32"), F.lit(shards))).groupBy("shard").applyInPandas(run, schema)

@@ -92,11 +92,13 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     ids = written(rows.where((F.length("payload") >= min_bytes) & F.col("page_id").isNotNull()).select("page_id", "digest"))
     first = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     again = joined(ids, first, ["digest"]).drop("n").where("page_id <> refers_to").distinct()
-    rows = rows.join(again, ["page_id", "digest"], "left")
-    # rows alike in id and payload are told apart by a number; those without an id are spread
-    alike = Window.partitionBy("page_id", "digest", F.when(F.col("page_id").isNull(), F.xxhash64("url"))).orderBy("url")
+    # rows alike in id and payload are told apart by a number; those without an id stay where they are
+    alike = Window.partitionBy("page_id", "digest").orderBy("url")
+    data = ["page_id", "url", "payload", "digest"]
+    named = rows.where("page_id is not null").join(again, ["page_id", "digest"], "left").select(*data, "refers_to", F.row_number().over(alike).alias("nth"))
+    unnamed = rows.where("page_id is null").select(*data, F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("nth"))
     run, schema = _write(folder)
-    return written(rows.withColumn("nth", F.row_number().over(alike)).select("page_id", "url", "payload", "digest", "refers_to", "nth").mapInArrow(run, schema))
+    return written(named.union(unnamed).mapInArrow(run, schema))
 
 
 def inflated(stream, where: str) -> Iterator[bytes]:
