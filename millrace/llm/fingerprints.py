@@ -13,7 +13,8 @@ peeled block by block. Blocks that still fail are split in four, with other cell
 until all are peeled. So the recovered digests are always exactly those that differ.
 
 All of this is array expressions in the row of the pair; what moves between tasks is one
-copy of the texts (to stand beside their neighbours) and, per level, the blocks that failed.
+copy of the texts (to stand beside their neighbours). Only blocks that fail three times
+go on to a table of their own.
 """
 
 from __future__ import annotations
@@ -97,24 +98,54 @@ def _split(keys: str, side: str, level: int) -> str:
         some -> transform(sequence(0, {side} - 1), j -> filter(some, x -> {part(25, "j")})))[0]))"""
 
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """(row, pair, more, less) of a table (row, pair, a, b) of digest arrays that one sketch could not
-    hold: as many blocks as the sizes call for, then four for each block that still fails, and so on.
-    A pair has a row for each of its parts that was peeled."""
+def tried(a: str, b: str, side: str, level: int) -> str:
+    """SQL for an array of struct(a, b, p): two digest arrays cut into side * side blocks, and for
+    each block what peeling the subtracted sketches of its two parts gives."""
+    difference = subtract(sketch("block.a", level), sketch("block.b", level))
+    blocks = f"zip_with({_split(a, side, level)}, {_split(b, side, level)}, (l, m) -> named_struct('a', l, 'b', m))"
+    return f"transform({blocks}, block -> named_struct('a', block.a, 'b', block.b, 'p', {peel(difference, level)}))"
+
+
+def again(failed: str, level: int) -> str:
+    """SQL for the blocks of ``failed``, an array of struct(a, b), each tried as four with other cell positions."""
+    return f"flatten(transform({failed}, f -> {tried('f.a', 'f.b', '2', level)}))"
+
+
+def _failed(blocks: str) -> str:
+    return f"transform(filter({blocks}, f -> NOT f.p.ok), f -> named_struct('a', f.a, 'b', f.b))"
+
+
+def _peeled(blocks: str, c: str) -> str:
+    return f"flatten(transform(filter({blocks}, f -> f.p.ok), f -> f.p.{c}))"
+
+
+def with_difference(rows: DataFrame, a: str, b: str, pair: int) -> DataFrame:
+    """``rows`` with more_<pair>, less_<pair> and left_<pair> for the digest arrays ``a`` and ``b``,
+    whose subtracted fingerprints gave p<pair>. If these were too small, both are sketched in as
+    many blocks as their sizes call for, and blocks that fail once more in four, all in the row.
+    ``left`` has the few blocks that fail even then."""
+    none = "array()"
+    side = f"greatest(2, cast(ceil(sqrt((size({a}) + size({b})) / {BLOCK_KEYS})) AS int))"
+    sized, fours = f"sized_{pair}", f"fours_{pair}"
+    rows = rows.withColumn(sized, F.expr(f"if(p{pair}.ok, NULL, {tried(a, b, side, 1)})"))
+    rows = rows.withColumn(fours, F.expr(f"if(p{pair}.ok, NULL, {again(_failed(sized), 2)})"))
+    found = [F.expr(f"if(p{pair}.ok, p{pair}.{c}, concat({_peeled(sized, c)}, {_peeled(fours, c)}))").alias(f"{c}_{pair}") for c in ("more", "less")]
+    return rows.select("*", *found, F.expr(f"if(p{pair}.ok, {none}, {_failed(fours)})").alias(f"left_{pair}")).drop(sized, fours)
+
+
+def differences(failed: DataFrame, level: int = 3) -> DataFrame | None:
+    """(row, pair, more, less) of a table (row, pair, a, b) of blocks that have failed ``level`` - 1
+    times: four for each, then four for each of those that still fails, until none is left. A pair
+    has a row for each of its parts that was peeled; None if there is nothing to do."""
     done: list[DataFrame] = []
-    left, level = pairs, 1
-    while level == 1 or not left.isEmpty():
-        side = f"greatest(2, cast(ceil(sqrt((size(a) + size(b)) / {BLOCK_KEYS})) AS int))" if level == 1 else "2"
-        blocks = left.withColumn("side", F.expr(side)).select("row", "pair", F.expr(_split("a", "side", level)).alias("as"), F.expr(_split("b", "side", level)).alias("bs"))
-        difference = subtract(sketch("block.as", level), sketch("block.bs", level))
-        tried = blocks.withColumn("p", F.expr(f"transform(arrays_zip(as, bs), block -> {peel(difference, level)})"))
-        found = [F.expr(f"flatten(transform(filter(p, r -> r.ok), r -> r.{c}))").alias(c) for c in ("more", "less")]
-        failed = F.expr("transform(filter(arrays_zip(as, bs, p), f -> NOT f.p.ok), f -> named_struct('a', f.as, 'b', f.bs))").alias("failed")
-        tried = written(tried.select("row", "pair", *found, failed))
-        done.append(tried.select("row", "pair", "more", "less"))
-        left = tried.select("row", "pair", F.explode("failed").alias("f")).select("row", "pair", "f.a", "f.b")
+    while not failed.isEmpty():
+        blocks = failed.withColumn("fours", F.expr(tried("a", "b", "2", level)))
+        found = [F.expr(_peeled("fours", c)).alias(c) for c in ("more", "less")]
+        blocks = written(blocks.select("row", "pair", *found, F.expr(_failed("fours")).alias("failed")))
+        done.append(blocks.select("row", "pair", "more", "less"))
+        failed = blocks.select("row", "pair", F.explode("failed").alias("f")).select("row", "pair", "f.a", "f.b")
         level += 1
-    return reduce(DataFrame.union, done)
+    return reduce(DataFrame.union, done) if done else None
 
 
 def _bucket(bounds: list[int]) -> Column:
@@ -182,35 +213,40 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int")), F.substring("next_text", F.lit(1), third))
     rows = rows.withColumn("edited", edited).withColumn("e", paragraphs(F.col("edited"))).withColumn("ce", F.expr(sketch("e")))
     rows = rows.withColumn("p0", F.expr(peel(subtract("ca", "ce")))).withColumn("p1", F.expr(peel(subtract("ca", "cb"))))
-    # digests are kept where a pair goes on to be retried; sketches stay packed until the last join is done
-    rows = rows.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        "n_chars",
-        F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
-        packed_cells("ca").alias("cells"),
-        packed_cells("ce").alias("edited_cells"),
-        F.size("a").alias("size"),
-        F.size("e").alias("edited_size"),
-        "p0",
-        "p1",
-        F.expr("if(p0.ok AND p1.ok, NULL, a)").alias("a"),
-        F.expr("if(p0.ok, NULL, e)").alias("e"),
-        F.expr("if(p1.ok, NULL, b)").alias("b"),
-    )
-    rows = written(rows)
-    pairs = rows.select("row", "a", F.explode(F.array(F.struct(F.lit(0).alias("pair"), F.col("p0.ok").alias("ok"), F.col("e").alias("b")), F.struct(F.lit(1).alias("pair"), F.col("p1.ok").alias("ok"), "b"))).alias("q")).where("not q.ok")
-    found = differences(pairs.select("row", "q.pair", "a", "q.b"))
+    rows = with_difference(with_difference(rows, "a", "e", 0), "a", "b", 1)
     # of the two versions the digests count, of the next document their number
-    part = lambda p, c: F.when(F.col("pair") == p, F.col(c))
-    found = found.groupBy("row").agg(
-        *(F.flatten(F.collect_list(part(0, c))).alias(f"{c}_0") for c in ("more", "less")),
-        *(F.sum(F.size(part(1, c))).cast("int").alias(f"{c}_1") for c in ("more", "less")),
+    rows = written(
+        rows.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            "n_chars",
+            F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
+            packed_cells("ca").alias("cells"),
+            packed_cells("ce").alias("edited_cells"),
+            F.size("a").alias("size"),
+            F.size("e").alias("edited_size"),
+            F.col("more_0").alias("only_more"),
+            F.col("less_0").alias("only_less"),
+            F.size("more_1").alias("more_1"),
+            F.size("less_1").alias("less_1"),
+            F.expr("concat(transform(left_0, f -> named_struct('pair', 0, 'a', f.a, 'b', f.b)), transform(left_1, f -> named_struct('pair', 1, 'a', f.a, 'b', f.b)))").alias("left"),
+        )
     )
-    first = [F.when(F.col("p0.ok"), F.col(f"p0.{c}")).alias(f"peeled_{c}_0") for c in ("more", "less")] + [F.when(F.col("p1.ok"), F.size(f"p1.{c}")).alias(f"peeled_{c}_1") for c in ("more", "less")]
-    out = rows.select("row", "doc_id", "n_chars", "edited_sha256", "cells", "edited_cells", "size", "edited_size", *first).join(found, "row", "left")
+    # few rows are left, and only these meet the digests of their last blocks
+    out = rows.where(F.size("left") == 0).drop("left", "row")
+    found = differences(rows.select("row", F.explode("left").alias("f")).select("row", "f.*"))
+    if found is not None:
+        part = lambda p, c: F.when(F.col("pair") == p, F.col(c))
+        found = found.groupBy("row").agg(
+            *(F.flatten(F.collect_list(part(0, c))).alias(f"last_{c}_0") for c in ("more", "less")),
+            *(F.coalesce(F.sum(F.size(part(1, c))), F.lit(0)).cast("int").alias(f"last_{c}_1") for c in ("more", "less")),
+        )
+        late = rows.where(F.size("left") > 0).drop("left").join(found, "row")
+        for c in ("more", "less"):
+            late = late.withColumn(f"only_{c}", F.concat(f"only_{c}", f"last_{c}_0")).withColumn(f"{c}_1", F.col(f"{c}_1") + F.col(f"last_{c}_1"))
+        out = out.union(late.select(out.columns))
     for c in ("more", "less"):
-        out = out.withColumn(f"only_{c}", F.array_sort(F.coalesce(f"peeled_{c}_0", f"{c}_0"))).withColumn(f"{c}_0", F.size(f"only_{c}")).withColumn(f"{c}_1", F.coalesce(f"peeled_{c}_1", f"{c}_1"))
+        out = out.withColumn(f"only_{c}", F.array_sort(f"only_{c}")).withColumn(f"{c}_0", F.size(f"only_{c}"))
 
     def likeness(p: int) -> Column:
         common, every = F.col("size") - F.col(f"more_{p}"), F.col("size") + F.col(f"less_{p}")
