@@ -31,8 +31,11 @@ CELLS = 24
 #: Words of a line that make a paragraph at most.
 PIECE_WORDS = 16
 PIECE = r"[^\x20\x09-\x0D]+(?:[\x20\x09]+[^\x20\x09-\x0D]+){0,%d}" % (PIECE_WORDS - 1)
-#: Digests of both sets in a block, on average, when a sketch is retried; rounds of peeling.
-BLOCK_KEYS, ROUNDS = 8, 6
+#: Cells in each of a retried block's three tables; the digests that should differ in one, on average; rounds of peeling.
+BLOCK_WIDTH, BLOCK_KEYS, ROUNDS = 4, 3, 6
+#: How many digests of two sets have one that differs among them: about a third of those of a text
+#: and its edited version, all of those of two documents.
+VERSIONS, DOCUMENTS = 3, 1
 #: Rows in a range of ids.
 RANGE_ROWS = 2_000
 
@@ -47,32 +50,33 @@ def _at(key: str, level: int) -> str:
     return key if level <= 1 else f"xxhash64({key}, {level})"
 
 
-#: Empty cells; b and v tell which digests belong in one: those whose three bits from b on are v.
-_EMPTY = f"transform(sequence(0, {CELLS - 1}), c -> named_struct('n', 0, 'k', 0L, 'h', 0, 'b', 3 * (c div 8), 'v', cast(c % 8 AS bigint)))"
+def _empty(width: int) -> str:
+    """SQL for the empty cells of three tables; b and v tell which digests belong in one: those whose bits from b on are v."""
+    bits = width.bit_length() - 1
+    return f"transform(sequence(0, {3 * width - 1}), c -> named_struct('n', 0, 'k', 0L, 'h', 0, 'b', {bits} * (c div {width}), 'v', cast(c % {width} AS bigint)))"
 
 
 def _changed(cell: str, key: str, by: str) -> str:
     return f"named_struct('n', {cell}.n {by}, 'k', {cell}.k ^ {key}, 'h', {cell}.h ^ hash({key}), 'b', {cell}.b, 'v', {cell}.v)"
 
 
-def _added(keys: str, to: str, by: str, level: int) -> str:
-    """SQL for a cell after the digests that belong in it are added or taken out."""
-    return f"aggregate({keys}, {to}, (s, x) -> if((shiftrightunsigned({_at('x', level)}, s.b) & 7) = s.v, {_changed('s', 'x', by)}, s))"
+def _belongs(key: str, cell: str, level: int, width: int) -> str:
+    return f"(shiftrightunsigned({_at(key, level)}, {cell}.b) & {width - 1}L) = {cell}.v"
 
 
-def sketch(keys: str, level: int = 0) -> str:
+def sketch(keys: str, level: int = 0, width: int = CELLS // 3) -> str:
     """SQL for the cells of an array of digests."""
-    return f"transform({_EMPTY}, z -> {_added(keys, 'z', '+ 1', level)})"
+    return f"transform({_empty(width)}, z -> aggregate({keys}, z, (s, x) -> if({_belongs('x', 's', level, width)}, {_changed('s', 'x', '+ 1')}, s)))"
 
 
 def subtract(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (s, t) -> named_struct('n', s.n - t.n, 'k', s.k ^ t.k, 'h', s.h ^ t.h, 'b', s.b, 'v', s.v))"
 
 
-def peel(cells: str, level: int = 0) -> str:
+def peel(cells: str, level: int = 0, width: int = CELLS // 3) -> str:
     """SQL for struct(ok, more, less): whether all cells emptied, and the digests that only the first and only the second set has."""
     pure = "array_distinct(transform(filter(st.cells, s -> abs(s.n) = 1 AND hash(s.k) = s.h), s -> named_struct('k', s.k, 'n', s.n)))"
-    after = f"transform(st.cells, s -> aggregate(p, s, (t, q) -> if((shiftrightunsigned({_at('q.k', level)}, t.b) & 7) = t.v, {_changed('t', 'q.k', '- q.n')}, t)))"
+    after = f"transform(st.cells, s -> aggregate(p, s, (t, q) -> if({_belongs('q.k', 't', level, width)}, {_changed('t', 'q.k', '- q.n')}, t)))"
     of = lambda sign: f"transform(filter(p, q -> q.n = {sign}), q -> q.k)"
     step = f"""transform(array({pure}), p -> if(size(p) = 0, named_struct('cells', st.cells, 'more', st.more, 'less', st.less, 'go', false),
         named_struct('cells', {after}, 'more', concat(st.more, {of(1)}), 'less', concat(st.less, {of(-1)}), 'go', true)))[0]"""
@@ -91,24 +95,24 @@ def written_form(size: str, cells: str) -> Column:
     return F.concat(F.col(size).cast("string"), F.lit(":"), F.hex(cells))
 
 
-def _split(keys: str, side: str, level: int) -> str:
-    """SQL for an array of side * side arrays: digests by two remainders, in two steps so that the work is about keys * side."""
-    part = lambda bits, value: f"pmod(shiftright({_at('x', level)}, {bits}), {side}) = {value}"
-    return f"""flatten(transform(sequence(0, {side} - 1), g -> transform(array(filter({keys}, x -> {part(9, "g")})),
-        some -> transform(sequence(0, {side} - 1), j -> filter(some, x -> {part(25, "j")})))[0]))"""
+def _split(keys: str, rows: str, columns: str, level: int) -> str:
+    """SQL for an array of rows * columns arrays: digests by two remainders, in two steps so that the work is about keys * (rows + columns)."""
+    part = lambda bits, of, value: f"pmod(shiftright({_at('x', level)}, {bits}), {of}) = {value}"
+    return f"""flatten(transform(sequence(0, {rows} - 1), g -> transform(array(filter({keys}, x -> {part(9, rows, "g")})),
+        some -> transform(sequence(0, {columns} - 1), j -> filter(some, x -> {part(25, columns, "j")})))[0]))"""
 
 
-def tried(a: str, b: str, side: str, level: int) -> str:
-    """SQL for an array of struct(a, b, p): two digest arrays cut into side * side blocks, and for
+def tried(a: str, b: str, rows: str, columns: str, level: int) -> str:
+    """SQL for an array of struct(a, b, p): two digest arrays cut into rows * columns blocks, and for
     each block what peeling the subtracted sketches of its two parts gives."""
-    difference = subtract(sketch("block.a", level), sketch("block.b", level))
-    blocks = f"zip_with({_split(a, side, level)}, {_split(b, side, level)}, (l, m) -> named_struct('a', l, 'b', m))"
-    return f"transform({blocks}, block -> named_struct('a', block.a, 'b', block.b, 'p', {peel(difference, level)}))"
+    difference = subtract(sketch("block.a", level, BLOCK_WIDTH), sketch("block.b", level, BLOCK_WIDTH))
+    blocks = f"zip_with({_split(a, rows, columns, level)}, {_split(b, rows, columns, level)}, (l, m) -> named_struct('a', l, 'b', m))"
+    return f"transform({blocks}, block -> named_struct('a', block.a, 'b', block.b, 'p', {peel(difference, level, BLOCK_WIDTH)}))"
 
 
 def again(failed: str, level: int) -> str:
     """SQL for the blocks of ``failed``, an array of struct(a, b), each tried as four with other cell positions."""
-    return f"flatten(transform({failed}, f -> {tried('f.a', 'f.b', '2', level)}))"
+    return f"flatten(transform({failed}, f -> {tried('f.a', 'f.b', '2', '2', level)}))"
 
 
 def _failed(blocks: str) -> str:
@@ -119,18 +123,19 @@ def _peeled(blocks: str, c: str) -> str:
     return f"flatten(transform(filter({blocks}, f -> f.p.ok), f -> f.p.{c}))"
 
 
-def with_difference(rows: DataFrame, a: str, b: str, pair: int) -> DataFrame:
+def with_difference(rows: DataFrame, a: str, b: str, pair: int, per_differing: int) -> DataFrame:
     """``rows`` with more_<pair>, less_<pair> and left_<pair> for the digest arrays ``a`` and ``b``,
     whose subtracted fingerprints gave p<pair>. If these were too small, both are sketched in as
-    many blocks as their sizes call for, and blocks that fail once more in four, all in the row.
+    many blocks as their sizes call for, if one of ``per_differing`` digests differs, and blocks that fail once more in four, all in the row.
     ``left`` has the few blocks that fail even then."""
     none = "array()"
-    side = f"greatest(2, cast(ceil(sqrt((size({a}) + size({b})) / {BLOCK_KEYS})) AS int))"
-    sized, fours = f"sized_{pair}", f"fours_{pair}"
-    rows = rows.withColumn(sized, F.expr(f"if(p{pair}.ok, NULL, {tried(a, b, side, 1)})"))
+    sized, fours, side, blocks = (f"{name}_{pair}" for name in ("sized", "fours", "side", "blocks"))
+    rows = rows.withColumn(blocks, F.expr(f"greatest(1, ceil((size({a}) + size({b})) / {BLOCK_KEYS * per_differing}))"))
+    rows = rows.withColumn(side, F.expr(f"cast(ceil(sqrt({blocks})) AS int)")).withColumn(blocks, F.expr(f"cast(ceil({blocks} / {side}) AS int)"))
+    rows = rows.withColumn(sized, F.expr(f"if(p{pair}.ok, NULL, {tried(a, b, side, blocks, 1)})"))
     rows = rows.withColumn(fours, F.expr(f"if(p{pair}.ok, NULL, {again(_failed(sized), 2)})"))
     found = [F.expr(f"if(p{pair}.ok, p{pair}.{c}, concat({_peeled(sized, c)}, {_peeled(fours, c)}))").alias(f"{c}_{pair}") for c in ("more", "less")]
-    return rows.select("*", *found, F.expr(f"if(p{pair}.ok, {none}, {_failed(fours)})").alias(f"left_{pair}")).drop(sized, fours)
+    return rows.select("*", *found, F.expr(f"if(p{pair}.ok, {none}, {_failed(fours)})").alias(f"left_{pair}")).drop(sized, fours, side, blocks)
 
 
 def differences(failed: DataFrame, level: int = 3) -> DataFrame | None:
@@ -139,7 +144,7 @@ def differences(failed: DataFrame, level: int = 3) -> DataFrame | None:
     has a row for each of its parts that was peeled; None if there is nothing to do."""
     done: list[DataFrame] = []
     while not failed.isEmpty():
-        blocks = failed.withColumn("fours", F.expr(tried("a", "b", "2", level)))
+        blocks = failed.withColumn("fours", F.expr(tried("a", "b", "2", "2", level)))
         found = [F.expr(_peeled("fours", c)).alias(c) for c in ("more", "less")]
         blocks = written(blocks.select("row", "pair", *found, F.expr(_failed("fours")).alias("failed")))
         done.append(blocks.select("row", "pair", "more", "less"))
@@ -213,7 +218,7 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - third).cast("int")), F.substring("next_text", F.lit(1), third))
     rows = rows.withColumn("edited", edited).withColumn("e", paragraphs(F.col("edited"))).withColumn("ce", F.expr(sketch("e")))
     rows = rows.withColumn("p0", F.expr(peel(subtract("ca", "ce")))).withColumn("p1", F.expr(peel(subtract("ca", "cb"))))
-    rows = with_difference(with_difference(rows, "a", "e", 0), "a", "b", 1)
+    rows = with_difference(with_difference(rows, "a", "e", 0, VERSIONS), "a", "b", 1, DOCUMENTS)
     # of the two versions the digests count, of the next document their number
     rows = written(
         rows.select(
