@@ -6,6 +6,7 @@ import pytest
 from helpers import SF, documents
 from pyspark.sql import functions as F
 
+from millrace.llm import fingerprints
 from millrace.llm.fingerprints import CELLS, PIECE, fingerprint_versions, paragraphs
 from millrace.llm.queries import op2_invertible_fingerprints
 
@@ -52,3 +53,21 @@ def test_fingerprint_is_the_sketch_of_the_set(spark):
                 c[0], c[1], c[2] = c[0] + 1, c[1] ^ (k & (1 << 64) - 1), c[2] ^ (h & 0xFFFFFFFF)
         want[r.doc_id] = f"{len(r.a)}:" + "".join(f"{n & 255:02X}{k:016X}{h:08X}" for n, k, h in cells)
     assert {r.doc_id: r.fingerprint for r in fingerprint_versions(df).collect()} == want
+
+
+def test_blocks_that_fail_three_times(spark, monkeypatch):
+    """With blocks far too small for what differs, the digests come from the table of failed blocks."""
+    levels, whole = [], fingerprints.differences
+
+    def counted(failed, level=3):
+        levels.append(failed.count())
+        return whole(failed, level)
+
+    monkeypatch.setattr(fingerprints, "BLOCK_KEYS", 400)
+    monkeypatch.setattr(fingerprints, "differences", counted)
+    rows = [(1, "\n".join(f"left {n}" for n in range(300))), (2, "\n".join(f"right {n}" for n in range(300))), (3, "")]
+    got = {r.doc_id: r for r in fingerprint_versions(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    of = digests(spark, [x for d, t, e in versions(rows) for x in (t, e)])
+    for d, t, e in versions(rows):
+        assert got[d].only_text == sorted(of(t) - of(e)) and got[d].only_edited == sorted(of(e) - of(t)), d
+    assert levels[0] > 0 and got[2].near_next == 0
