@@ -9,10 +9,11 @@ Plan of the job:
 2. Documents with the same set form a class (an aggregate that combines before the
    shuffle, so thousands of copies cost one row per task); the rest works on classes,
    named by the digest of their set.
-3. Classes that share a band key are compared with the smallest class under that key,
-   which is linear in the number of keys. The odd sketches drop pairs that cannot be
-   similar, the full sets confirm the rest, and the confirmed links are joined to
-   components.
+3. A sort by ranges of key and class brings the classes of a band key together; keys of
+   one class, which are most, go no further. The others are compared with the smallest
+   class under their key, which is linear in the number of keys. The odd sketches drop
+   pairs that cannot be similar, the full sets confirm the rest, and the confirmed links
+   are joined to components.
 4. Under each band key only pairs of *different* components are still open. The members
    outside the key's largest component are compared with all members, inside the task,
    sketch against sketch, in blocks of bounded size: one stray member among a million
@@ -164,6 +165,52 @@ def _confirm(percent: int):
     return run, "a long, b long"
 
 
+def _key_runs():
+    """Rows (key, set_id, pivot, end) of partitions sorted by key and set: those of the keys that have
+    several sets here, with the smallest of these, and those of a partition's first and last key
+    (end), whose other sets may lie in the next partitions. The rows of a key that goes on in
+    the next batch wait for it."""
+
+    def several(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBatch]:
+        starts = np.append(0, np.flatnonzero(np.diff(rows.column("key").to_numpy())) + 1)
+        n = np.diff(np.append(starts, rows.num_rows))
+        end = np.zeros(len(starts), dtype=bool)
+        end[0] |= first
+        end[-1] |= last
+        keep = pa.array(np.repeat((n > 1) | end, n))
+        pivot = rows.column("set_id").take(pa.array(np.repeat(starts, n)))
+        out = rows.append_column("pivot", pivot).append_column("end", pa.array(np.repeat(end, n))).filter(keep)
+        yield from out.to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        first = True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("key").to_numpy()
+            at = int(np.searchsorted(keys, keys[-1]))
+            if at or (held and held[-1].column("key")[-1].as_py() != keys[0]):
+                yield from several(pa.Table.from_batches([*held, batch.slice(0, at)]), first, False)
+                held, first = [], False
+            held.append(batch.slice(at))
+        if held:
+            yield from several(pa.Table.from_batches(held), first, True)
+
+    return run, "key long, set_id binary, pivot binary, end boolean"
+
+
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """(key, set_id, pivot) of the rows (key, set_id), all different, whose key others have too; the pivot
+    is the smallest set of the key. The ranges are those of key and set, so that a hot key has many
+    partitions; only its rows there and those of two keys a partition are joined."""
+    run, schema = _key_runs()
+    rows = keys.select("key", "set_id").repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(run, schema)
+    rows = written(rows)
+    ends = rows.where("end").groupBy("key").agg(F.min("set_id").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return rows.where("not end").drop("end").union(rows.where("end").drop("end", "pivot").join(F.broadcast(ends), "key").select("key", "set_id", "pivot"))
+
+
 def _close_enough(percent: int):
     """Column: may the pair with these sketches, bitmaps and sizes be as similar as asked?"""
     limit = most_differing(percent)
@@ -278,9 +325,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = reps.select("set_id", "rep", "size", "sketch", "bitmap")
     id_of = reps.select("set_id", "rep")
 
-    keys = reps.select("set_id", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    keys = written(joined(keys, shared, ["key"]).select("key", "set_id", "pivot"))
+    keys = written(shared_keys(reps.select("set_id", F.explode("bands").alias("key"))))
     close = _close_enough(percent)
     asked = written(keys.where("set_id <> pivot").select(F.col("pivot").alias("x"), F.col("set_id").alias("y")).distinct())
     # a set is asked about once for each band at most, a pivot by all sets of its bands
