@@ -14,20 +14,18 @@ def bounds_query(query: str, column: str, batch_size: int) -> str:
 
 
 def bucket(key: Column, bounds: list, after: bool = False) -> Column:
-    """The number of (sorted) bounds below the key, or with ``after`` of those not above it, by
-    bisection: an expression of the same size for any number of bounds."""
+    """The number of (sorted) bounds below the key, or with ``after`` of those not above it, by steps
+    that halve: an expression of the same size for any number of bounds, few nodes a step as Spark
+    interprets it."""
     if not bounds:
         return F.lit(0)
     table = F.lit(bounds)
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
-    def step(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        below = F.get(table, mid) <= key if after else F.get(table, mid) < key
-        up = (s["lo"] < s["hi"]) & below
-        return F.struct(F.when(up, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(up | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+    def step(n: Column, half: Column) -> Column:
+        bound = F.get(table, n + half - 1)  # NULL behind the last
+        return F.when(bound <= key if after else bound < key, n + half).otherwise(n)
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, step, lambda s: s["lo"])
+    found = F.aggregate(F.lit([1 << i for i in reversed(range(len(bounds).bit_length()))]), F.lit(0), step)
     return F.when(key.isNull(), 0).otherwise(found)
 
 
@@ -66,11 +64,8 @@ def contiguous(buckets: DataFrame) -> DataFrame:
     next one's lower bound. One row per bucket, so the window is small. No bucket: one open slice."""
     order = Window.partitionBy().orderBy("bucket_id")
     nxt = F.lead("lower_bound").over(order)
-    rows = buckets.select((F.row_number().over(order) - 1).alias("slice_index"), "lower_bound", F.coalesce(nxt, "upper_bound").alias("upper_bound"), (F.row_number().over(order) == 1).alias("is_first"), nxt.isNull().alias("is_last"))
-    kind = buckets.schema["lower_bound"].dataType
-    none = F.lit(None).cast(kind)
-    open_one = buckets.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(0).alias("slice_index"), none.alias("lower_bound"), none.alias("upper_bound"), F.lit(True).alias("is_first"), F.lit(True).alias("is_last"))
-    return rows.unionByName(open_one)
+    rows = buckets.sparkSession.range(1).select().join(F.broadcast(buckets), how="left")  # a row of NULLs if there is none
+    return rows.select((F.row_number().over(order) - 1).alias("slice_index"), "lower_bound", F.coalesce(nxt, "upper_bound").alias("upper_bound"), (F.row_number().over(order) == 1).alias("is_first"), nxt.isNull().alias("is_last"))
 
 
 @dataclass(frozen=True)
@@ -106,6 +101,23 @@ def assign(column: Column, slices: list[Slice]) -> Column:
     return bucket(column, [s.lower for s in slices[1:]], after=True)
 
 
+def by_condition(df: DataFrame, column: str, slices: list[Slice]) -> DataFrame:
+    """The rows of each slice with its slice_index, as a union of one read per slice has them, in one
+    pass: bisection finds the slice of a key, and the conditions of it and of the two beside it are
+    evaluated as SQL. The plan has the same size for any number of slices."""
+
+    def condition(first: bool, last: bool) -> str:
+        return Slice(0, "_lower", "_upper", first, last).predicate(f"`{column}`", str) or "true"
+
+    kind = df.schema[column].dataType.simpleString()
+    rows = [(s.index, s.lower, s.upper, s.is_first, s.is_last) for s in slices]
+    table = df.sparkSession.createDataFrame(rows, f"slice_index int, _lower {kind}, _upper {kind}, _first boolean, _last boolean")
+    near = F.sequence(F.greatest(F.col("_near") - 1, F.lit(0)), F.least(F.col("_near") + 1, F.lit(len(slices) - 1)))
+    found = df.withColumn("_near", assign(F.col(f"`{column}`"), slices)).withColumn("slice_index", F.explode(near)).join(F.broadcast(table), "slice_index")
+    held = found.where(f"CASE WHEN _first AND _last THEN {condition(True, True)} WHEN _first THEN {condition(True, False)} WHEN _last THEN {condition(False, True)} ELSE {condition(False, False)} END")
+    return held.select("slice_index", *(F.col(f"`{c}`") for c in df.columns))
+
+
 def objectid_seconds(oid: Column) -> Column:
     """The creation time that the first eight hexadecimal digits of an object id hold."""
     return F.conv(F.substring(oid, 1, 8), 16, 10).cast("bigint")
