@@ -51,6 +51,20 @@ def exact_buckets(df: DataFrame, column: str, batch_size: int) -> DataFrame:
     return spread.groupBy("bucket_id").agg(F.min("k").alias("lower_bound"), F.max("k").alias("upper_bound"), F.sum(inside).alias("row_count"))
 
 
+def ranked(df: DataFrame, column: str, rank: str) -> DataFrame:
+    """The rows with their exact rank by a key, from 0, NULL first. As in ``exact_buckets`` there is no
+    window over all rows: ranges of keys are counted first, and a rank inside a range goes on from
+    what is before it. One row per range is on the driver."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fractions = [i / parts for i in range(1, parts)]
+    cuts = sorted(set(df.agg(F.percentile_approx(column, fractions, 10_000)).first()[0] or [])) if fractions else []
+    part = bucket(F.col(column), cuts)
+    sizes = {r.part: r["count"] for r in df.groupBy(part.alias("part")).count().collect()}
+    base = F.get(F.lit([sum(n for p, n in sizes.items() if p < i) for i in range(len(cuts) + 1)]).cast("array<bigint>"), F.col("_part"))
+    at = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    return df.withColumn("_part", part).withColumn(rank, at - 1 + base).drop("_part")
+
+
 def approximate_bounds(df: DataFrame, column: str, slices: int) -> list:
     """The inner bounds of ``slices`` ranges of about equal size, by approximate percentiles: one pass, no sort."""
     if slices < 2:
