@@ -35,6 +35,7 @@ import urllib.request
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, SimpleDataSourceStreamReader
 from pyspark.sql.types import StructType
 
@@ -64,25 +65,38 @@ def dig(value: object, path: str) -> object:
     return value
 
 
-def as_text(value: object) -> str | None:
-    if value is None or isinstance(value, str):
-        return value
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, _Number):
-        return value.text
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), default=lambda n: float(n.text))
+def _is_key(path: str) -> bool:
+    """Does a path name a field of the item itself?"""
+    return bool(path) and "." not in path and not path.startswith("$")
 
 
-class _Number:
+class _Number(str):
     """A JSON number as it was written."""
 
-    def __init__(self, text: str):
-        self.text = text
+    __slots__ = ()
+
+
+_DECODER = json.JSONDecoder(parse_int=_Number, parse_float=_Number)
+
+
+def _plain(value: object) -> object:
+    if isinstance(value, dict):
+        return {k: _plain(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    return float(value) if isinstance(value, _Number) else value
+
+
+def as_text(value: object) -> str | None:
+    if value is None or isinstance(value, str):
+        return value if value is None or type(value) is str else str(value)
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return json.dumps(_plain(value), ensure_ascii=False, separators=(",", ":"))
 
 
 def parse(body: bytes) -> object:
-    return json.loads(body, parse_int=_Number, parse_float=_Number)
+    return _DECODER.decode(body.decode(json.detect_encoding(body), "surrogatepass"))
 
 
 class Client:
@@ -134,6 +148,7 @@ class _Pages:
         if self.kind not in ("page_number", "offset_limit", "cursor_token", "link_header"):
             raise ValueError(f"pagination {self.kind!r} is not supported")
         self.size = int(self.o.get("page_size", 100))
+        self.paths = [(n, self.o.get(f"field.{n.lower()}", n)) for n in self.names]
         self.share = 1
         self.narrowed: dict[str, str] = {}
 
@@ -170,20 +185,35 @@ class _Pages:
         cuts = [pages * i // share for i in range(share + 1)]
         return [Page(first + a * step, False, b - a, step, last if b == pages else 0) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def rows(self, body: object, client: Client) -> Iterator[tuple]:
+    def columns(self, body: object, client: Client) -> list[list[str | None]]:
+        """The items of an answer, a list per column."""
         items = dig(body, self.o.get("records_path", ""))
         if not isinstance(items, list):
             raise ValueError(f"no array at {self.o.get('records_path') or 'the root'} of the response")
-        for item in items:
-            if isinstance(item, dict):
-                yield tuple(str(client.calls) if n == "_api_calls" else as_text(dig(item, self.o.get(f"field.{n.lower()}", n))) for n in self.names)
-                client.calls = 0
+        items = [item for item in items if isinstance(item, dict)]
+        out: list[list[str | None]] = []
+        for name, path in self.paths:
+            if name == "_api_calls":
+                out.append([str(client.calls), *["0"] * (len(items) - 1)] if items else [])
+            else:
+                values = (item.get(path) for item in items) if _is_key(path) else (dig(item, path) for item in items)
+                out.append([v if v is None or type(v) is str else as_text(v) for v in values])
+        if items:
+            client.calls = 0
+        return out
+
+    def rows(self, body: object, client: Client) -> Iterator[tuple]:
+        yield from zip(*self.columns(body, client), strict=True)
+
+    def batch(self, body: object, client: Client) -> pa.RecordBatch:
+        """The same as Spark takes it without looking at each value."""
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in self.columns(body, client)], names=self.names)
 
-    def read_run(self, page: Page, share: int) -> Iterator[tuple]:
+    def read_run(self, page: Page, share: int) -> Iterator[pa.RecordBatch]:
         client = Client(self.o, share)
         for i in range(page.pages):
             size = page.last if i == page.pages - 1 else 0
-            yield from self.rows(client.get(self.url(page.index + i * page.step, size=size))[0], client)
+            yield self.batch(client.get(self.url(page.index + i * page.step, size=size))[0], client)
 
     def after(self, url: str, body: object, headers: dict[str, str]) -> str | None:
         """What names the next page: a cursor, or the address that a header links to. None: there is no next page."""
@@ -210,14 +240,14 @@ class RestReader(_Pages, DataSourceReader):
         self.share = min(pages, int(o.get("tasks", 8)))
         return self.runs(first, pages)
 
-    def read(self, partition: Page) -> Iterator[tuple]:
+    def read(self, partition: Page) -> Iterator[pa.RecordBatch]:
         if not partition.follow:
             yield from self.read_run(partition, self.share)
             return
         client, url, left = Client(self.o), self.url(0), int(self.o.get("max_pages_limit", 0) or 1 << 62)
         while url and left:
             body, headers = client.get(url)
-            yield from self.rows(body, client)
+            yield self.batch(body, client)
             left -= 1
             found = self.after(url, body, headers)
             url = found if self.kind == "link_header" or not found else self.url(0, found)
@@ -256,7 +286,7 @@ class RestStream(_Pages, DataSourceStreamReader):
             return []
         return self.runs(start["next"], n) if self.kind == "page_number" else self.runs(start["next"], -(-n // self.size), n % self.size)
 
-    def read(self, partition: Page) -> Iterator[tuple]:
+    def read(self, partition: Page) -> Iterator[pa.RecordBatch]:
         yield from self.read_run(partition, int(self.o.get("tasks", 8)))
 
     def commit(self, end: dict) -> None:
